@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ TUPLES = 2000
 #: Hot groups are merged in this many parts first.
 FAN = 32
 
-_SUMMARY = "value double, g bigint, d bigint, sid string"
+_SUMMARY = "value double, g bigint, d bigint, sid bigint"
 
 
 def compress(gid: np.ndarray, value: np.ndarray, g: np.ndarray, d: np.ndarray, tuples: int) -> tuple[np.ndarray, ...]:
@@ -72,25 +74,28 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, list]:
     return x.indices.to_numpy(zero_copy_only=False).astype(np.int64), x.dictionary.to_pylist()
 
 
-def _emit(names: list, gid: np.ndarray, value: np.ndarray, g: np.ndarray, d: np.ndarray, sid: str) -> pa.RecordBatch:
+def _emit(names: list, gid: np.ndarray, value: np.ndarray, g: np.ndarray, d: np.ndarray, sid: int) -> pa.RecordBatch:
+    """Every group's tuples get a sid of their own: groups that are combined later keep their summaries apart."""
     key = pa.array(names, pa.string()).take(pa.array(gid))
-    return pa.RecordBatch.from_arrays([key, pa.array(value), pa.array(g), pa.array(d), pa.array([sid] * len(gid), pa.string())], ["k", "value", "g", "d", "sid"])
+    return pa.RecordBatch.from_arrays([key, pa.array(value), pa.array(g), pa.array(d), pa.array(sid + gid)], ["k", "value", "g", "d", "sid"])
 
 
 def _partial(tuples: int, whole: bool):
-    """For mapInArrow: summaries of what a task sees. whole: rows come sorted by k, and a group's last batch closes it."""
+    """For mapInArrow: summaries of what a task sees. whole: rows come sorted by k, and a group's last batch closes it.
 
-    def flush(held: list[pa.RecordBatch], more: bool) -> tuple[pa.RecordBatch | None, list[pa.RecordBatch]]:
+    Names of summaries are made from the call, the task and the buffer, so that a task that runs again makes the same ones.
+    """
+    call = uuid.uuid4().hex
+
+    def flush(held: list[pa.RecordBatch], more: bool, number: int) -> tuple[pa.RecordBatch | None, list[pa.RecordBatch]]:
         t = pa.Table.from_batches(held).combine_chunks()
         k = t.column("k").combine_chunks()
         gid, names = _codes(k.chunk(0) if isinstance(k, pa.ChunkedArray) else k)
-        s = t.column("sid").combine_chunks()
-        sid, _ = _codes(s.chunk(0) if isinstance(s, pa.ChunkedArray) else s)
-        value, g, d = (t.column(c).to_numpy() for c in ("value", "g", "d"))
+        value, g, d, sid = (t.column(c).to_numpy() for c in ("value", "g", "d", "sid"))
         open_group = gid[-1]
-        # Rows of plain values (sid "") are exact: all of them are one summary.
+        # Rows of plain values (sid 0) are exact: all of them are one summary.
         gid, value, g, d = compress(*merge(gid, sid, value, g, d), tuples)
-        name = uuid.uuid4().hex
+        name = int.from_bytes(hashlib.blake2b(f"{call} {TaskContext.get().partitionId()} {number}".encode(), digest_size=7).digest(), "big") << 6
         if not (whole and more):
             return _emit(names, gid, value, g, d, name), []
         rest = gid == open_group
@@ -98,18 +103,18 @@ def _partial(tuples: int, whole: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        fresh = 0
+        fresh = number = 0
         for b in batches:
             if not b.num_rows:
                 continue
             held.append(b)
             fresh += b.num_rows
             if fresh >= BUFFER:
-                out, held = flush(held, True)
-                fresh = 0
+                out, held = flush(held, True, number)
+                fresh, number = 0, number + 1
                 yield out
         if held:
-            yield flush(held, False)[0]
+            yield flush(held, False, number)[0]
 
     return run
 
@@ -127,8 +132,8 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _reduce(parts: DataFrame, tuples: int) -> DataFrame:
     """One summary per k from partial summaries, in two steps: FAN parts of each group, then their merger."""
     schema = f"k string, {_SUMMARY}"
-    few = parts.repartition(F.col("k"), F.pmod(F.xxhash64("sid"), F.lit(FAN))).sortWithinPartitions("k").mapInArrow(_partial(tuples, True), schema)
-    return few.repartition(F.col("k")).sortWithinPartitions("k").mapInArrow(_partial(tuples, True), schema)
+    few = parts.repartition(F.col("k"), F.pmod(F.xxhash64("sid"), F.lit(FAN))).sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
+    return few.repartition(F.col("k")).sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
 
 
 def summarize(df: DataFrame, keys: Sequence[str], value: str, tuples: int = TUPLES) -> DataFrame:
@@ -138,7 +143,7 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, tuples: int = TUPL
     own rows before anything is sent, so that a hot group costs no more than any other.
     """
     v = F.col(value).cast("double")
-    rows = df.filter(v.isNotNull() & ~F.isnan(v) & (v >= 0)).select(_key(keys).alias("k"), v.alias("value"), F.lit(1).cast("bigint").alias("g"), F.lit(0).cast("bigint").alias("d"), F.lit("").alias("sid"))
+    rows = df.filter(v.isNotNull() & ~F.isnan(v) & (v >= 0)).select(_key(keys).alias("k"), v.alias("value"), F.lit(1).cast("bigint").alias("g"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("sid"))
     return _keys(_reduce(rows.mapInArrow(_partial(tuples, False), f"k string, {_SUMMARY}"), tuples), keys)
 
 
