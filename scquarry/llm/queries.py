@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scquarry.functions.text import label
-from scquarry.llm import cutoff, leaks, packing, quantiles, sampling
+from scquarry.llm import cutoff, leaks, packing, quantiles, sampling, subjects
 from scquarry.operators.diff import latest_rows
 from scquarry.session import materialize, table
 
@@ -86,6 +86,18 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_leaks(spark, sf_dir).filter(F.col("run_words") >= leaks.RUN).select("doc_id", "item_id")
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    areas = [r["subject"] for r in table(spark, sf_dir, "subject_areas").select("subject").orderBy("subject").collect()]  # eight rows
+    return subjects.assign_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"), areas)
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their share by subject; a document with several subjects counts for each."""
+    found = p9_found(spark, sf_dir)
+    total = table(spark, sf_dir, "documents").count()
+    return found.groupBy("subject").agg(F.count(F.lit(1)).alias("n_docs")).withColumn("share", F.col("n_docs") / F.lit(max(total, 1)))
+
+
 QUERIES = {
     "p2_report": p2_report,
     "p2_found": p2_found,
@@ -96,6 +108,8 @@ QUERIES = {
     "p7_found": p7_found,
     "p8_leaks": p8_leaks,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_composition": p9_composition,
 }
 
 _TRIM = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(160)"
