@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from scquarry.plans import problems
+from scquarry.plans import joins, problems, qc
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
+_MODULES = (qc, joins, problems)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
