@@ -45,8 +45,8 @@ def _same(keys: Sequence[str]) -> Column:
 
 def average_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """df's rows with finite values and their average rank (from 1; ties share the mean of their places) within keys."""
-    r = value_ranks(df, keys, value).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("value").alias("_v"), (F.col("before") + (F.col("n_equal") + 1) / 2.0).alias(name))
-    return df.join(r, _same(keys) & (F.col(value).cast("double") == F.col("_v"))).drop("_v", *[f"_k_{k}" for k in keys])
+    r = value_ranks(df, keys, value).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("value").alias("_ranked"), (F.col("before") + (F.col("n_equal") + 1) / 2.0).alias(name))
+    return df.join(r, _same(keys) & (F.col(value).cast("double") == F.col("_ranked"))).drop("_ranked", *[f"_k_{k}" for k in keys])
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:

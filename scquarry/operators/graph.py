@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scquarry.session import materialize
+
 #: Query vectors of one pass over the base; with vectors of 100 numbers about 3 MB.
 BLOCK = 4096
 
@@ -141,7 +143,8 @@ def shared_neighbours(nn: DataFrame, prune: float = 1 / 15) -> DataFrame:
 
     A cell is the neighbour of few others where k is small; hubs are combined on the map side before pairs are counted.
     """
-    own = nn.select("src", "dst").union(nn.select("src", F.col("src").alias("dst")).distinct())
+    nn = materialize(nn.select("src", "dst"), "nn")  # read several times below
+    own = nn.union(nn.select("src", F.col("src").alias("dst")).distinct())
     sizes = own.groupBy("src").agg(F.count(F.lit(1)).alias("k"))
     a, b = own.select(F.col("src").alias("x"), "dst"), own.select(F.col("src").alias("y"), "dst")
     common = a.join(b, "dst").filter("x < y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))

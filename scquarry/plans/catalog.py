@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from scquarry.plans import joins, problems, qc
+from scquarry.plans import graphs, joins, problems, qc, statistics
 
-_MODULES = (qc, joins, problems)
+_MODULES = (qc, joins, statistics, graphs, problems)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
