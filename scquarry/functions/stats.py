@@ -65,8 +65,8 @@ def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Per group n and rho of the rows with both values finite; rho is null with fewer than three rows or without variation."""
     both = df.filter(finite(F.col(x)) & finite(F.col(y))).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
     ranked = average_ranks(average_ranks(both, keys, "_x", "_rx"), keys, "_y", "_ry")
-    usable = (F.count(F.lit(1)) >= 3) & (F.min("_rx") < F.max("_rx")) & (F.min("_ry") < F.max("_ry"))
-    return ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.when(usable, F.corr("_rx", "_ry")).alias("rho"))
+    s = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_rx", "_ry").alias("_c"), (F.stddev_pop("_rx") * F.stddev_pop("_ry")).alias("_d"))
+    return s.select(*keys, "n", F.when(F.col("n") >= 3, F.col("_c") / F.nullif(F.col("_d"), F.lit(0.0))).alias("rho"))
 
 
 def eta_squared(df: DataFrame, keys: Sequence[str], group: str, x: str) -> DataFrame:

@@ -75,5 +75,5 @@ def correct_counts(counts: DataFrame, cells: DataFrame, library: str = "library_
     if background is None:
         return rows.groupBy("_lib", "_part").applyInPandas(lambda p: correct(p), schema)
     empty = background.select(F.col(library).alias("_lib"), "gene_id", "value").groupBy("_lib", "gene_id").agg(F.sum("value").alias("value"))
-    empty = empty.join(parts.select(F.col(library).alias("_lib"), "_part").distinct(), "_lib")
-    return rows.groupBy("_lib", "_part").cogroup(empty.groupBy("_lib", "_part")).applyInPandas(lambda a, b: correct(a, b), schema)
+    empty = empty.join(parts.select(F.col(library).alias("_lib"), F.col("_part").alias("_of")).distinct(), "_lib")
+    return rows.groupBy("_lib", "_part").cogroup(empty.groupBy("_lib", "_of")).applyInPandas(lambda a, b: correct(a, b), schema)
