@@ -29,7 +29,7 @@ def cutoffs(records: DataFrame, targets: DataFrame, source: str = "source", scor
     bracket = None
     for _ in range(ROUNDS):
         inside = rows if bracket is None else rows.join(bracket.filter("open").select("source", "low", "high"), "source").filter("score >= low AND score <= high").select("source", "score")
-        r = ranks(summarize(inside, ["source"], "score"), ["source"]).select("source", "value", "rmin", "rmax", "n")
+        r = ranks(summarize(inside, ["source"], "score"), ["source"]).select("source", F.col("tuple_value").alias("value"), "rmin", "rmax", "n")
         if bracket is None:
             r = r.join(aims, "source").withColumn("aim", F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("keep_percent") / 100)).cast("bigint")).withColumn("total", F.col("n")).withColumn("held", F.col("n"))
         else:

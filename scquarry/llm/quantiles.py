@@ -21,6 +21,8 @@ TUPLES = 2000
 FAN = 32
 
 _SUMMARY = "value double, g bigint, d bigint, sid bigint"
+#: The columns of a summary beside its keys.
+TUPLE = {"value": "tuple_value", "g": "tuple_g", "d": "tuple_d", "sid": "tuple_sid"}
 
 
 def compress(gid: np.ndarray, value: np.ndarray, g: np.ndarray, d: np.ndarray, tuples: int) -> tuple[np.ndarray, ...]:
@@ -126,7 +128,7 @@ def _key(keys: Sequence[str]) -> Column:
 
 def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     part = [F.split("k", "\x1f").getItem(i) for i in range(len(keys))]
-    return df.select(*[F.when(p.startswith("+"), F.substring(p, 2, 2**31 - 1)).alias(k) for p, k in zip(part, keys)], "value", "g", "d", "sid")
+    return df.select(*[F.when(p.startswith("+"), F.substring(p, 2, 2**31 - 1)).alias(k) for p, k in zip(part, keys)], *[F.col(c).alias(n) for c, n in TUPLE.items()])
 
 
 def _reduce(parts: DataFrame, tuples: int) -> DataFrame:
@@ -137,7 +139,7 @@ def _reduce(parts: DataFrame, tuples: int) -> DataFrame:
 
 
 def summarize(df: DataFrame, keys: Sequence[str], value: str, tuples: int = TUPLES) -> DataFrame:
-    """Summaries (keys as text, value, g, d, sid) of the numbers in a column, one per combination of keys.
+    """Summaries (keys as text, and the columns of TUPLE) of the numbers in a column, one per combination of keys.
 
     Null, NaN and negative numbers are no measurements; groups without measurements have no summary. Every task summarizes its
     own rows before anything is sent, so that a hot group costs no more than any other.
@@ -149,23 +151,23 @@ def summarize(df: DataFrame, keys: Sequence[str], value: str, tuples: int = TUPL
 
 def combine(summaries: DataFrame, keys: Sequence[str], tuples: int = TUPLES) -> DataFrame:
     """Summaries by fewer keys from summaries by more, for instance samples from their days; unions of stored results too."""
-    rows = summaries.select(_key(keys).alias("k"), "value", "g", "d", "sid")
+    rows = summaries.select(_key(keys).alias("k"), *[F.col(n).alias(c) for c, n in TUPLE.items()])
     return _keys(_reduce(rows.mapInArrow(_partial(tuples, False), f"k string, {_SUMMARY}"), tuples), keys)
 
 
 def ranks(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The tuples with their rank intervals: rmin and rmax, the least and the greatest rank of the value, and the group's n."""
+    """keys, tuple_value and its rank interval: rmin and rmax, its least and its greatest rank, and the group's n."""
     from pyspark.sql import Window as W
 
     w = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(1))
-    running = w.orderBy("value", "g", "d").rowsBetween(W.unboundedPreceding, 0)
-    return summaries.withColumn("rmin", F.sum("g").over(running)).withColumn("n", F.sum("g").over(w)).withColumn("rmax", F.least(F.col("rmin") + F.col("d"), F.col("n")))
+    running = w.orderBy("tuple_value", "tuple_g", "tuple_d").rowsBetween(W.unboundedPreceding, 0)
+    return summaries.withColumn("rmin", F.sum("tuple_g").over(running)).withColumn("n", F.sum("tuple_g").over(w)).withColumn("rmax", F.least(F.col("rmin") + F.col("tuple_d"), F.col("n")))
 
 
 def percentiles(summaries: DataFrame, keys: Sequence[str], percents: Sequence[float]) -> DataFrame:
     """Per group and percent: n, value and rank_error, a bound of how many ranks the value is off ceil(percent / 100 * n)."""
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in percents])).alias("percent")
-    r = ranks(summaries, keys).select(*keys, "value", "rmin", "rmax", "n", wanted)
+    r = ranks(summaries, keys).select(*keys, F.col("tuple_value").alias("value"), "rmin", "rmax", "n", wanted)
     target = F.greatest(F.lit(1), F.ceil(F.col("percent") * F.col("n") / 100)).cast("bigint")
     r = r.withColumn("off", F.greatest(F.abs(target - F.col("rmin")), F.abs(F.col("rmax") - target)))
     best = r.groupBy(*keys, "percent").agg(F.min(F.struct("off", "value")).alias("b"), F.max("n").alias("n"))

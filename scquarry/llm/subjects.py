@@ -28,8 +28,8 @@ CONFIDENT = 0.6
 LEAST_COSINE, LEAST_LENGTH = 0.12, 0.06
 #: A document deals with a subject of at least so many sentences and such a share of its sentences on any, with three at most.
 SENTENCES, SENTENCE_SHARE, MOST = 2, 0.15, 3
-#: Seeds are kept apart by a document's language where a subject has this many labelled documents in it.
-LEAST_SEEDS = 5
+#: Seeds are kept apart by a document's language where a subject has this many labelled documents in it and this share of all.
+LEAST_SEEDS, SEED_SHARE = 2, 0.001
 
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
@@ -207,7 +207,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
     single = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), number[F.col("subject")].alias("s")).filter("s IS NOT NULL").groupBy("doc_id").agg(F.min("s").alias("s"), F.max("s").alias("_m")).filter("s = _m").drop("_m")
     single = single.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     seeds = materialize(encoded.join(single, "doc_id"), "seeds")
-    by_lang = seeds.groupBy("s", "lang").count().filter(F.col("count") >= LEAST_SEEDS).collect()  # at most MAX_LABELLED / LEAST_SEEDS rows
+    by_lang = seeds.groupBy("s", "lang").count().filter(F.col("count") >= max(LEAST_SEEDS, SEED_SHARE * seeds.count())).collect()  # at most MAX_LABELLED / LEAST_SEEDS rows
     if not by_lang:
         return spark.createDataFrame([], schema)
     group = {(r["s"], r["lang"]): i for i, r in enumerate(sorted(by_lang, key=lambda r: (r["s"], r["lang"])))}
