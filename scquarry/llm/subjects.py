@@ -33,12 +33,13 @@ LEAST_SEEDS, SEED_SHARE = 2, 0.001
 
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
-_TERM = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
+#: A run of letters, hyphens within it kept, that no digit touches.
+_TERM = re.compile(r"(?<![\w-])[^\W\d_]{3,}(?:-[^\W\d_]+)*(?![\w-])")
 
 
 def sentences(text: str) -> list[list[str]]:
     """The terms of each sentence: words of three letters or more, hyphens kept, without codes and numbers."""
-    return [[w for w in _TERM.findall(s) if len(w) > 2 and not any(c.isdigit() for c in w)] for s in _SENTENCE.split(_TAG.sub(" ", text).lower())]
+    return [_TERM.findall(s) for s in _SENTENCE.split((_TAG.sub(" ", text) if "<" in text else text).lower())]
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
