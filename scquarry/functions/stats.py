@@ -134,13 +134,14 @@ def pc_cap(max_pcs: int, n_cells: int, n_hvg: int, n_genes: int) -> int:
 def rank_sum(df: DataFrame, keys: Sequence[str], value: str, inside: str, n_cells: DataFrame) -> DataFrame:
     """Per keys the Wilcoxon rank sum of the cells inside against the others, zeros included: n_in, n_out, u and z.
 
-    df holds non-zero values (positive) with a flag inside; n_cells the numbers of all cells (n_in, n_out, one row). The cells
+    df holds non-zero values (positive) with a flag inside; n_cells the numbers of all cells (one row of n_in and n_out). The cells
     without a row tie at zero, below all others.
     """
     ranked = average_ranks(df.select(*keys, F.col(value).cast("double").alias("_v"), F.col(inside).alias("_i")), keys, "_v", "_r")
     ties = value_ranks(df.select(*keys, F.col(value).alias("_v")), keys, "_v").groupBy(*keys).agg(F.sum(F.pow("n_equal", F.lit(3)) - F.col("n_equal")).alias("_t"))
     s = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nz"), F.count(F.when(F.col("_i"), 1)).alias("_nzi"), F.coalesce(F.sum(F.when(F.col("_i"), F.col("_r"))), F.lit(0.0)).alias("_s"))
-    s = s.join(ties, list(keys)).join(F.broadcast(n_cells.select("n_in", "n_out")), F.lit(True))
+    size = n_cells.select("n_in", "n_out").first()
+    s = s.join(ties, list(keys)).withColumns({c: F.lit(size[c]) for c in ("n_in", "n_out")})
     n = F.col("n_in") + F.col("n_out")
     zeros = n - F.col("_nz")
     rank = F.col("_s") + F.col("_nzi") * zeros + (F.col("n_in") - F.col("_nzi")) * (zeros + 1) / 2.0

@@ -25,6 +25,11 @@ def label(c: Column) -> Column:
     return F.upper(strip(c))
 
 
+def each_of(values: list, kind: str) -> Column:
+    """One row per value of a short list (names, markers, resolutions), for use in a select; an empty list gives no row."""
+    return F.explode(F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>"))
+
+
 def text_number(c: Column) -> Column:
     """The number that a text reads as (commas separate thousands), or null."""
     s = strip(c)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scquarry.functions.text import each_of
 from scquarry.session import materialize
 
 ROUNDS, LEVELS, LEAST_MOVED = 10, 2, 0.002
@@ -46,13 +47,11 @@ def communities(edges: DataFrame, nodes: DataFrame, resolutions: list[float], se
     halves by a seeded hash, so that results don't depend on partitions; groups found in one level are the nodes of the next.
     A node without edges stays alone.
     """
-    spark = edges.sparkSession
-    levels_of = spark.createDataFrame([(float(r),) for r in resolutions], "resolution double")
     both = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"))
     both = materialize(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")), "edges")
     total = both.agg(F.sum("weight")).first()[0] or 1.0
     degree = nodes.select(F.col("cell_id").alias("id")).join(both.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("degree")), "id", "left")
-    start = degree.select("id", F.coalesce("degree", F.lit(0.0)).alias("degree"), F.col("id").alias("c")).join(F.broadcast(levels_of), F.lit(True)).select("resolution", "id", "degree", "c")
+    start = degree.select("id", F.coalesce("degree", F.lit(0.0)).alias("degree"), F.col("id").alias("c"), each_of([float(r) for r in resolutions], "double").alias("resolution")).select("resolution", "id", "degree", "c")
     state = _moves(both, materialize(start, "start"), total, rounds, seed)
     out = state.select("resolution", F.col("id").alias("cell_id"), "c")
     for level in range(1, levels):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scquarry.functions.text import each_of
+
 BINS = 24
 
 
@@ -33,8 +35,8 @@ def module_scores(data: DataFrame, cells: DataFrame, genes: DataFrame, sets: Dat
     weights = size(sets.select("set_name", "gene_id"), 1.0).union(size(controls, -1.0))
     weights = weights.groupBy("set_name", "gene_id").agg(F.sum("weight").alias("weight"))
     s = data.join(weights, "gene_id").groupBy("cell_id", "set_name").agg(F.sum(F.col(value) * F.col("weight")).alias("score"))
-    names = sets.select("set_name").distinct()
-    grid = cells.select("cell_id").join(F.broadcast(names), F.lit(True))  # a few names per cell
+    names = sorted(r["set_name"] for r in sets.select("set_name").distinct().limit(1000).collect())
+    grid = cells.select("cell_id", each_of(names, "string").alias("set_name"))
     return grid.join(s, ["cell_id", "set_name"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
 
 

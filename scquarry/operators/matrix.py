@@ -84,11 +84,11 @@ def regression_coefficients(data: DataFrame, value: str, covariate: DataFrame, x
     Sums over the non-zeros and over all cells are enough: n, sum x and sum x * x come from the cells, the rest from data.
     """
     c = covariate.select("cell_id", F.col(x).cast("double").alias("_x"))
-    all_cells = c.agg(F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_sx"), F.sum(F.col("_x") * F.col("_x")).alias("_sxx"))  # one row
+    t = c.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_x"), F.lit(0.0)).alias("x"), F.coalesce(F.sum(F.col("_x") * F.col("_x")), F.lit(0.0)).alias("xx")).first()
+    n, sx, sxx = F.lit(t["n"]), F.lit(t["x"]), F.lit(t["xx"])
     s = data.join(c, "cell_id").groupBy("gene_id").agg(F.sum(value).alias("_sy"), F.sum(F.col(value) * F.col("_x")).alias("_sxy"))
-    s = s.join(F.broadcast(all_cells), F.lit(True))
-    slope = (F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy")) / F.nullif(F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx"), F.lit(0.0))
-    return s.withColumn("slope", F.coalesce(slope, F.lit(0.0))).select("gene_id", ((F.col("_sy") - F.col("slope") * F.col("_sx")) / F.col("_n")).alias("intercept"), "slope")
+    slope = (n * F.col("_sxy") - sx * F.col("_sy")) / F.nullif(n * sxx - sx * sx, F.lit(0.0))
+    return s.withColumn("slope", F.coalesce(slope, F.lit(0.0))).select("gene_id", ((F.col("_sy") - F.col("slope") * sx) / n).alias("intercept"), "slope")
 
 
 def pool_with_map(cells: DataFrame, mapping: DataFrame, expected: DataFrame | None = None) -> DataFrame:

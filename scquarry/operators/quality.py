@@ -77,9 +77,9 @@ def predicted_removal(flagged: DataFrame, limit: float = 0.15) -> DataFrame:
 
 def sample_summary(flagged: DataFrame, prevalence: DataFrame) -> DataFrame:
     """Per sample cells and genes before and after: the genes are those of the whole matrix."""
-    genes = prevalence.agg(F.count(F.lit(1)).alias("input_genes"), F.count(F.when(F.col("retained"), 1)).alias("retained_genes"))  # one row
+    genes = prevalence.agg(F.count(F.lit(1)).alias("input_genes"), F.count(F.when(F.col("retained"), 1)).alias("retained_genes")).first()
     s = flagged.groupBy("sample").agg(F.count(F.lit(1)).alias("input_cells"), F.count(F.when(F.col("retained"), 1)).alias("retained_cells"))
-    s = s.join(F.broadcast(genes), F.lit(True))
+    s = s.withColumns({c: F.lit(genes[c]) for c in ("input_genes", "retained_genes")})
     return s.select(
         "sample",
         "input_cells",
@@ -88,7 +88,7 @@ def sample_summary(flagged: DataFrame, prevalence: DataFrame) -> DataFrame:
         (F.col("retained_cells") / F.col("input_cells")).alias("cell_retention"),
         "input_genes",
         "retained_genes",
-        (F.col("retained_genes") / F.col("input_genes")).alias("gene_retention"),
+        (F.col("retained_genes") / F.nullif(F.col("input_genes"), F.lit(0))).alias("gene_retention"),
     )
 
 

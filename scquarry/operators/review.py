@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scquarry.functions.stats import finite, percentiles
+from scquarry.functions.text import each_of
 from scquarry.operators.graph import label_grid
 
 
@@ -102,6 +103,14 @@ def contamination_warnings(review: DataFrame, markers: DataFrame, cells: DataFra
     )
 
 
+def _markers(markers: DataFrame, genes: DataFrame, most: int = 10_000) -> tuple[list, list]:
+    """The names of a short list of markers and those of them that are genes."""
+    names = sorted(r["marker"] for r in markers.filter("marker IS NOT NULL").select("marker").distinct().limit(most + 1).collect())
+    if len(names) > most:
+        raise ValueError("too many markers")
+    return names, sorted(r["gene_id"] for r in genes.filter(F.col("gene_id").isin(names)).select("gene_id").distinct().collect())
+
+
 def marker_retention(original: DataFrame, corrected: DataFrame, cells: DataFrame, markers: DataFrame, genes: DataFrame) -> DataFrame:
     """Per sample and marker: means and detection before and after correction over all cells of the sample, and what was kept.
 
@@ -109,9 +118,9 @@ def marker_retention(original: DataFrame, corrected: DataFrame, cells: DataFrame
     gene has is MARKER_ABSENT with nulls.
     """
     size = cells.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
-    known = markers.select("marker").distinct().join(genes.select(F.col("gene_id").alias("marker"), F.lit(True).alias("present")), "marker", "left")
-    grid = size.join(F.broadcast(known), F.lit(True))  # samples x markers, both few
-    side = lambda x, v: x.join(F.broadcast(known.select(F.col("marker").alias("gene_id"))), "gene_id").select("cell_id", F.col("gene_id").alias("marker"), F.col("value").alias(v))
+    names, known = _markers(markers, genes)
+    grid = size.select("sample", "n", each_of(names, markers.schema["marker"].dataType.simpleString()).alias("marker")).withColumn("present", F.col("marker").isin(known))
+    side = lambda x, v: x.filter(F.col("gene_id").isin(known)).select("cell_id", F.col("gene_id").alias("marker"), F.col("value").alias(v))
     both = side(original, "a").join(side(corrected, "b"), ["cell_id", "marker"], "full_outer").join(cells.select("cell_id", "sample"), "cell_id")
     s = both.groupBy("sample", "marker").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count(F.when(F.col("a") > 0, 1)).alias("da"), F.count(F.when(F.col("b") > 0, 1)).alias("db"))
     j = grid.join(s, ["sample", "marker"], "left")
@@ -131,12 +140,14 @@ def marker_retention(original: DataFrame, corrected: DataFrame, cells: DataFrame
 def marker_structure(data: DataFrame, assignments: DataFrame, markers: DataFrame, genes: DataFrame, value: str = "data") -> DataFrame:
     """Per cluster and marker the mean and the share of cells with it; a marker that no gene has gives one MARKER_ABSENT row."""
     size = assignments.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    known = markers.select("marker").distinct().join(genes.select(F.col("gene_id").alias("marker"), F.lit(True).alias("present")), "marker", "left")
-    x = data.join(F.broadcast(known.select(F.col("marker").alias("gene_id"))), "gene_id").join(assignments.select("cell_id", "cluster"), "cell_id")
+    names, known = _markers(markers, genes)
+    kind = markers.schema["marker"].dataType.simpleString()
+    x = data.filter(F.col("gene_id").isin(known)).join(assignments.select("cell_id", "cluster"), "cell_id")
     s = x.groupBy("cluster", F.col("gene_id").alias("marker")).agg(F.sum(value).alias("s"), F.count(F.when(F.col(value) > 0, 1)).alias("d"))
-    grid = size.join(F.broadcast(known.filter("present")), F.lit(True)).join(s, ["cluster", "marker"], "left")
+    grid = size.select("cluster", "n", each_of(known, kind).alias("marker")).join(s, ["cluster", "marker"], "left")
     out = grid.select("cluster", "marker", (F.coalesce("s", F.lit(0.0)) / F.col("n")).alias("mean_expression"), (F.coalesce("d", F.lit(0)) / F.col("n")).alias("fraction_detected"), F.lit("MEASURED").alias("status"))
-    absent = known.filter("present IS NULL").select(F.lit(None).cast(assignments.schema["cluster"].dataType).alias("cluster"), "marker", F.lit(None).cast("double").alias("mean_expression"), F.lit(None).cast("double").alias("fraction_detected"), F.lit("MARKER_ABSENT").alias("status"))
+    absent = markers.sparkSession.createDataFrame([(m,) for m in names if m not in known], f"marker {kind}")
+    absent = absent.select(F.lit(None).cast(assignments.schema["cluster"].dataType).alias("cluster"), "marker", F.lit(None).cast("double").alias("mean_expression"), F.lit(None).cast("double").alias("fraction_detected"), F.lit("MARKER_ABSENT").alias("status"))
     return out.union(absent)
 
 

@@ -27,6 +27,13 @@ def rules(s: SparkSession, d: str) -> DataFrame:
     return evidence.diagnostic_rules(kept, review.contamination_review(contaminated(s, d)), associations, review.cluster_sizes(assignments(s, d)))
 
 
+def fingerprints(s: SparkSession, d: str) -> DataFrame:
+    """Whether a matrix and the same rows in another order have one fingerprint."""
+    columns = ["cell_id", "gene_id", "value"]
+    two = matrix.fingerprint(model.counts(s, d), columns).union(matrix.fingerprint(model.counts(s, d).repartition(5, "gene_id"), columns))
+    return two.agg((F.countDistinct("n_rows") == 1).alias("same_rows"), (F.countDistinct("hash_xor", "hash_sum") == 1).alias("same_content"))
+
+
 QUERIES = {
     "issue_status": lambda s, d: table(s, d, "qc_report").select("record_no", evidence.issue_status(F.concat_ws(" ", "status", "note")).alias("class")),
     "audit_unpivot": lambda s, d: evidence.to_metrics(quality.filter_reasons(flagged(s, d)), ["sample"], ["input_cells", "multiple_conditions", "qc_removed_cells", "total_removed_cells"]),
@@ -35,9 +42,7 @@ QUERIES = {
     "strongest_associations": lambda s, d: evidence.strongest(pc_metadata_spearman(s, d), ["variable"], "rho", "pc").select("variable", "pc", "rho", "place"),
     "diagnostic_rules": rules,
     "event_keys": lambda s, d: table(s, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")),
-    "fingerprint_equal": lambda s, d: (lambda a, b: a.join(b, F.lit(True)).select((F.col("a_rows") == F.col("n_rows")).alias("same_rows"), ((F.col("a_xor") == F.col("hash_xor")) & (F.col("a_sum") == F.col("hash_sum"))).alias("same_content")))(
-        matrix.fingerprint(model.counts(s, d), ["cell_id", "gene_id", "value"]).toDF("a_rows", "a_xor", "a_sum"), matrix.fingerprint(model.counts(s, d).repartition(5, "gene_id"), ["cell_id", "gene_id", "value"])
-    ),
+    "fingerprint_equal": fingerprints,
     "storage_totals": lambda s, d: rounded(table(s, d, "orders").groupBy(F.col("o_orderstatus").alias("state")).agg(F.count(F.lit(1)).alias("files"), F.sum(F.floor("o_totalprice")).alias("bytes"))),
 }
 
