@@ -42,9 +42,10 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cutoffs(spark: SparkSession, sf_dir: str, scored: DataFrame) -> DataFrame:
     aims = table(spark, sf_dir, "keep_targets").select(label(F.col("sample")).alias("source"), "keep_percent")
-    other = aims.filter("source = '*'").select(F.col("keep_percent").alias("usual"))  # one row
-    named = scored.select("source").distinct().join(aims, "source", "left").join(F.broadcast(other.limit(1)), F.lit(True), "left")
-    return cutoff.cutoffs(scored, named.select("source", F.coalesce("keep_percent", "usual").alias("keep_percent")).filter("keep_percent IS NOT NULL"))
+    usual = aims.filter("source = '*'").first()
+    named = scored.select("source").distinct().join(aims, "source", "left")
+    usual = F.lit(usual["keep_percent"] if usual else None).cast("int")
+    return cutoff.cutoffs(scored, named.select("source", F.coalesce("keep_percent", usual).alias("keep_percent")).filter("keep_percent IS NOT NULL"))
 
 
 def p4_cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
