@@ -7,5 +7,5 @@ from pyspark.sql import functions as F
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """df with its doubles rounded, so that the order of additions can't show."""
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """df with its doubles rounded, so that the order of additions can't show; zero has no sign."""
+    return df.select(*[(F.round(c, digits) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])

@@ -43,7 +43,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_sample_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per sample and table: rows, distinct cells, salts used and sums over the cells, a null sample being a group of its own."""
+    """Per sample and table: rows, distinct cells, sums over the cells, first and last time (seconds), a null sample being a group of its own."""
     cells = table(spark, sf_dir, "cell_qc_all").withColumn("sample", label(F.col("sample")))
     good = lambda c: f"CASE WHEN {c} >= 0 AND NOT isnan({c}) AND {c} < double('Infinity') THEN {c} END"
     a = salted_aggregate(
@@ -51,7 +51,7 @@ def p6_sample_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     clustered = table(spark, sf_dir, "cluster_assignments").withColumn("sample", label(F.col("sample")))
     b = salted_aggregate(clustered, "sample", "cell", {"n_kept": "int(cluster_res_0_5 IS NOT NULL)"}, {"first_at": "assigned_at"}, {"last_at": "assigned_at"})
-    return a.select(F.lit("cell_qc_all").alias("source_table"), "*").unionByName(b.select(F.lit("cluster_assignments").alias("source_table"), "*"), allowMissingColumns=True)
+    return a.select(F.lit("cell_qc_all").alias("source_table"), "*").unionByName(b.select(F.lit("cluster_assignments").alias("source_table"), "*"), allowMissingColumns=True).drop("n_salts").withColumns({c: F.unix_timestamp(c) for c in ("first_at", "last_at")})
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +96,22 @@ SELECT 'cluster_assignments', {_SAMPLE} FROM cluster_assignments WHERE sample IS
 
 def _p6_sql(name: str, cell: str, kept: str, at: str, sums: bool) -> str:
     good = lambda c: f"sum(CASE WHEN {c} >= 0 AND NOT isnan({c}) AND NOT isinf({c}) THEN {c} END)"
-    return f"""SELECT '{name}' AS source_table, {_SAMPLE} AS sample, count(*) AS n_rows, count(DISTINCT {cell}) AS n_items, sum({kept}) AS n_kept,
-{good("ncount_rna") if sums else "NULL::DOUBLE"} AS sum_ncount, {good("nfeature_rna") if sums else "NULL::DOUBLE"} AS sum_nfeature, min({at}) AS first_at, max({at}) AS last_at FROM {name} GROUP BY 2"""
+    return f"""SELECT '{name}' AS source_table, {_SAMPLE} AS sample, count(*) AS n_rows, count(DISTINCT {cell}) AS n_items, sum({kept})::BIGINT AS n_kept,
+{good("ncount_rna") if sums else "NULL::DOUBLE"} AS sum_ncount, {good("nfeature_rna") if sums else "NULL::DOUBLE"} AS sum_nfeature, floor(epoch(min({at})))::BIGINT AS first_at, floor(epoch(max({at})))::BIGINT AS last_at FROM {name} GROUP BY 2"""
 
 
-#: n_salts depends on the parallelism, so this is compared without it, in the tests.
-P6_RESULTS_SQL = _p6_sql("cell_qc_all", "cell_id", "retained::INT", "qc_time", True) + " UNION ALL " + _p6_sql("cluster_assignments", "cell", "(cluster_res_0_5 IS NOT NULL)::INT", "assigned_at", False)
+SQL["p6_sample_results"] = _p6_sql("cell_qc_all", "cell_id", "retained::INT", "qc_time", True) + " UNION ALL " + _p6_sql("cluster_assignments", "cell", "(cluster_res_0_5 IS NOT NULL)::INT", "assigned_at", False)
+
+#: Values between delimiters, quotations first; in the pattern ~ stands for a single quotation mark.
+_VALUE = r"\s*(\"(?:[^\"]|\"\")*\"|~(?:[^~]|~~)*~|[^;,/|&\t\n]*?)\s*(?:[;,/|&\t\n]|$)".replace("~", "''")
+
+SQL["p3_found"] = rf"""
+WITH f AS (SELECT 'cell_qc_all' AS source_table, record_no, failed_rules AS v FROM cell_qc_all WHERE failed_rules IS NOT NULL
+  UNION ALL SELECT 'qc_report', record_no, value FROM qc_report WHERE metric IN {LIST_METRICS} AND value IS NOT NULL),
+t AS (SELECT source_table, record_no, trim(v, {_TRIM}) AS v FROM f),
+u AS (SELECT source_table, record_no, CASE WHEN v LIKE '[%]' THEN v[2:-2] ELSE v END AS v FROM t),
+p AS (SELECT source_table, record_no, regexp_extract_all(v, '{_VALUE}', 1) AS a FROM u),
+c AS (SELECT source_table, record_no, list_filter(list_transform(a, lambda x: trim(CASE WHEN len(x) > 1 AND x[1] = chr(34) AND x[-1] = chr(34) THEN replace(x[2:-2], chr(34) || chr(34), chr(34))
+  WHEN len(x) > 1 AND x[1] = chr(39) AND x[-1] = chr(39) THEN replace(x[2:-2], chr(39) || chr(39), chr(39)) ELSE x END, {_TRIM})), lambda x: x <> '') AS a FROM p)
+SELECT source_table, record_no, unnest(range(1, len(a) + 1))::INT AS item_pos, unnest(a) AS item FROM c
+"""

@@ -121,8 +121,8 @@ co AS (SELECT gene_id, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS slope, sy, s
 SQL = {
     "gene_moments": f"""WITH {_NORM} SELECT gene_id, count(*) AS n, round(sum(data) / (SELECT count(*) FROM cells), 6) AS mean,
 round((sum(data * data) - sum(data) * sum(data) / (SELECT count(*) FROM cells)) / ((SELECT count(*) FROM cells) - 1), 6) AS variance FROM norm GROUP BY 1""",
-    "regression_coefficients": f"WITH {_REG} SELECT gene_id, round(intercept, 6) AS intercept, round(slope, 6) AS slope FROM coef",
-    "scaled_values": f"WITH {_REG} SELECT cell_id, gene_id, round(least(10, (data - intercept - slope * pmt) / sqrt(variance)), 5) AS scaled FROM norm JOIN coef USING (gene_id)",
+    "regression_coefficients": f"WITH {_REG} SELECT gene_id, round(intercept, 6) + 0 AS intercept, round(slope, 6) + 0 AS slope FROM coef",
+    "scaled_values": f"WITH {_REG} SELECT cell_id, gene_id, round(least(10, (data - intercept - slope * pmt) / sqrt(variance)), 5) + 0 AS scaled FROM norm JOIN coef USING (gene_id)",
     "pc_selection": f"""WITH {_VEC}, x AS (SELECT label, unnest(range(64)) AS dim, unnest(vec) AS x FROM v), sd AS (SELECT label, dim, stddev_samp(x) AS stdev FROM x GROUP BY 1, 2),
 o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY stdev DESC, dim) AS pc FROM sd), o2 AS (SELECT *, stdev * 100 / sum(stdev) OVER (PARTITION BY label) AS share FROM o WHERE pc <= 50),
 o3 AS (SELECT *, sum(share) OVER (PARTITION BY label ORDER BY pc) AS cum, share - lead(share) OVER (PARTITION BY label ORDER BY pc) AS dr FROM o2),

@@ -7,7 +7,6 @@ import pandas as pd
 import pytest
 
 from scquarry.plans import catalog
-from scquarry.plans.problems import P6_RESULTS_SQL
 
 DIR = "/root/testdata/sf0.001"
 
@@ -33,10 +32,6 @@ def test_query_equals_sql(spark, con, name):
     same(catalog.QUERIES[name](spark, DIR).toPandas(), con.sql(catalog.SQL[name]).df())
 
 
-def test_sample_results(spark, con):
-    same(catalog.QUERIES["p6_sample_results"](spark, DIR).drop("n_salts").toPandas(), con.sql(P6_RESULTS_SQL).df())
-
-
 def test_entry_and_names(spark):
     import __spark_entry__ as e
 
