@@ -138,3 +138,11 @@ SQL = {
     "p4_cutoffs": _P4 + "SELECT * FROM c",
     "p4_found": _P4 + "SELECT s.sample, s.cell_id FROM s JOIN c USING (sample) WHERE s.pann > c.cutoff",
 }
+
+_WORDS = r"regexp_extract_all(strip_accents(lower(regexp_replace({}, '</?[A-Za-z!][^<>]*>', ' ', 'g'))), '[\p{{L}}\p{{N}}]+')"
+_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_RUNS = "SELECT DISTINCT {0}, array_to_string(w[i:i + 11], ' ') AS r FROM (SELECT {0}, w, unnest(range(1, len(w) - 10)) AS i FROM {1})"
+
+SQL["p7_found"] = rf"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_SPACE}]+')) > {CAPACITY}"
+SQL["p8_found"] = f"""WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL), e AS (SELECT item_id, {_WORDS.format("passage")} AS w FROM eval_items),
+x AS ({_RUNS.format("doc_id", "d")}), y AS ({_RUNS.format("item_id", "e")}) SELECT DISTINCT doc_id, item_id FROM x JOIN y USING (r)"""
