@@ -80,8 +80,8 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
 
     lists centroids are fitted on a sample of at most so many rows (by a hash of the id); every row is then indexed in the list
     of its nearest centroid, and every query looks at its probes nearest lists. Lists beyond a bound are cut by a hash of the id
-    into parts that are searched on their own, so that a hot list makes no large task and no row is left out. queries defaults
-    to all rows.
+    into parts, and so are their queries; each part of the one meets each part of the other in a task of its own, so that a hot
+    list makes no large task and no row is left out. queries defaults to all rows.
     """
     spark, kind = base.sparkSession, base.schema["cell_id"].dataType.simpleString()
     rows = base.filter("cell_id IS NOT NULL AND vec IS NOT NULL").select("cell_id", F.col("vec").cast("array<double>").alias("vec"))
@@ -109,9 +109,11 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
     schema = f"cell_id {kind}, vec array<double>, lists array<int>"
     at = rows.mapInArrow(lists_of(1), schema).select("cell_id", "vec", F.col("lists")[0].alias("list"))
     sizes = at.groupBy("list").agg((F.ceil(F.count(F.lit(1)) / 20_000.0)).cast("int").alias("parts"))  # one row per list
-    at = at.join(F.broadcast(sizes), "list").withColumn("part", F.pmod(F.xxhash64("cell_id"), F.col("parts")).cast("int"))
+    own = F.pmod(F.xxhash64("cell_id"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    at = at.join(F.broadcast(sizes), "list").withColumn("part", own).withColumn("turn", every)
     want = asked.mapInArrow(lists_of(min(probes, len(c))), schema).select("cell_id", "vec", F.explode("lists").alias("list")).join(F.broadcast(sizes), "list")
-    want = want.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    want = want.withColumn("turn", own).withColumn("part", every)
 
     def search(key, left, right):
         import pandas as pd
@@ -133,11 +135,21 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
 
         return search(key, left, right) if len(left) and len(right) else pd.DataFrame({"src": pd.Series([], dtype=left["cell_id"].dtype), "dst": pd.Series([], dtype=left["cell_id"].dtype), "dist": pd.Series([], dtype=float)})
 
-    found = want.select("list", "part", "cell_id", "vec").groupBy("list", "part").cogroup(at.select("list", "part", "cell_id", "vec").groupBy("list", "part")).applyInPandas(both, f"src {kind}, dst {kind}, dist double")
+    place_of = ["list", "part", "turn"]
+    found = want.select(*place_of, "cell_id", "vec").groupBy(*place_of).cogroup(at.select(*place_of, "cell_id", "vec").groupBy(*place_of)).applyInPandas(both, f"src {kind}, dst {kind}, dist double")
     place = F.row_number().over(W.partitionBy("src").orderBy("dist", "dst"))
     return found.withColumn("rnk", place).filter(F.col("rnk") <= k).select("src", "dst", "rnk", "dist")
 
 
+def neighbour_graph(vectors: DataFrame, k: int = 20, exact_rows: int = 100_000) -> DataFrame:
+    """The k nearest of every vector: by exact search up to exact_rows vectors, beyond that by the inverted file."""
+    n = vectors.count()
+    if n <= exact_rows:
+        return nearest(vectors, vectors, k)
+    lists = min(4096, max(64, int(n**0.5)))
+    return nearest_indexed(vectors, k, lists=lists, probes=max(16, lists // 8))
+
+
 def shared_neighbours(nn: DataFrame, prune: float = 1 / 15) -> DataFrame:
     """The shared-neighbour graph: src < dst, weight = common / all neighbours (each cell is its own), weights below prune left out.
 

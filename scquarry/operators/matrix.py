@@ -67,6 +67,16 @@ def first_matches(wanted: DataFrame, genes: DataFrame) -> DataFrame:
     return found.groupBy("name").agg(F.min_by("gene_id", F.struct("gene_ord", "gene_id")).alias("gene_id"))
 
 
+def sample_sizes(counts: DataFrame, cells: DataFrame) -> DataFrame:
+    """Per sample its cells, those of them with counts, and the genes detected in any; each gene of a sample counts once."""
+    size = cells.groupBy("sample").agg(F.count(F.lit(1)).alias("cells"))
+    some = counts.filter("value > 0").join(cells.select("cell_id", "sample"), "cell_id")
+    seen = some.groupBy("sample", "cell_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("sample").agg(F.count(F.lit(1)).alias("cells_with_counts"))
+    genes = some.groupBy("sample", "gene_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("sample").agg(F.count(F.lit(1)).alias("genes_detected"))
+    out = size.join(seen, "sample", "left").join(genes, "sample", "left")
+    return out.select("sample", "cells", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("cells_with_counts", "genes_detected")])
+
+
 def log_normalize(counts: DataFrame, totals: DataFrame, scale: float = 1e4) -> DataFrame:
     """counts with data = ln(1 + scale * value / ncount); zeros stay out."""
     return counts.join(totals.select("cell_id", "ncount"), "cell_id").withColumn("data", F.log1p(F.col("value") * scale / F.col("ncount")))

@@ -96,6 +96,8 @@ QUERIES = {
         s.createDataFrame([("RED widget",), ("blue bolt",), ("Small Ring",), ("no such part",)], "name string"),
         table(s, d, "part").select(F.col("p_partkey").alias("gene_id"), F.initcap("p_name").alias("gene_name"), (-F.col("p_partkey")).alias("gene_ord")),
     ),
+    "sample_sizes": lambda s, d: matrix.sample_sizes(model.counts(s, d), model.cells(s, d)),
+    "group_cells": lambda s, d: model.cells(s, d).groupBy("grp").agg(F.count(F.lit(1)).alias("cells"), F.countDistinct("sample").alias("samples")),
     "log_normalize": lambda s, d: rounded(matrix.log_normalize(model.counts(s, d), metrics(s, d)).select("cell_id", "gene_id", "data")),
 }
 
@@ -134,5 +136,8 @@ FULL JOIN (SELECT p_type AS kind, p_brand AS name, count(*) AS after FROM part W
     "latest_cells": "SELECT cell_id, record_no, sample, ncount_rna, retained FROM cell_qc_all QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY loaded_at DESC NULLS LAST, record_no DESC) = 1",
     "object_inventory": f"WITH {model.SQL_CELLS} SELECT count(*) AS cells, string_agg(DISTINCT sample, ';' ORDER BY sample) AS samples, string_agg(DISTINCT grp, ';' ORDER BY grp) AS groups FROM cells",
     "first_gene_matches": """SELECT upper(p_name) AS name, max(p_partkey) AS gene_id FROM part WHERE upper(p_name) IN ('RED WIDGET', 'BLUE BOLT', 'SMALL RING', 'NO SUCH PART') GROUP BY 1""",
+    "sample_sizes": f"""WITH {_C}, {model.SQL_CELLS} SELECT sample, count(DISTINCT cells.cell_id) AS cells, count(DISTINCT counts.cell_id) AS cells_with_counts, count(DISTINCT gene_id) AS genes_detected
+FROM cells LEFT JOIN counts USING (cell_id) GROUP BY 1""",
+    "group_cells": f"WITH {model.SQL_CELLS} SELECT grp, count(*) AS cells, count(DISTINCT sample) AS samples FROM cells GROUP BY 1",
     "log_normalize": f"WITH {model.SQL_METRICS} SELECT cell_id, gene_id, round(ln(1 + 10000 * value / ncount), 6) AS data FROM counts JOIN metrics USING (cell_id)",
 }

@@ -88,7 +88,7 @@ def formal_analysis(counts: DataFrame, cells: DataFrame, batch: str | None, sett
     design = graph.batch_design(cells, fields, "grp", batch, [batch] if batch and batch != "sample" else [])
     eligible = design.filter("selected AND decision = 'ELIGIBLE'").count() > 0
     chosen = materialize(integration.integrate(vectors, cells, batch, seed=s.seed), "integrated") if eligible else vectors
-    nn = materialize(graph.nearest(chosen, chosen, s.neighbours), "nn")
+    nn = materialize(graph.neighbour_graph(chosen, s.neighbours), "nn")
     snn = materialize(graph.shared_neighbours(nn), "snn")
     clusters = materialize(communities.communities(snn, chosen.select("cell_id"), list(s.resolutions), s.seed), "clusters")
     sizes = review.cluster_sizes(clusters)
@@ -135,7 +135,7 @@ def regression_review(counts: DataFrame, cells: DataFrame, baseline: dict[str, D
     other, _, _ = components.principal_components(rows, width, max(2, stats.pc_cap(s.max_pcs, n, width, width + 1)), covariates)
     other = materialize(other, "other")
     vectors = other.select("cell_id", F.slice("vec", 1, used).alias("vec"))
-    snn = graph.shared_neighbours(graph.nearest(vectors, vectors, s.neighbours))
+    snn = graph.shared_neighbours(graph.neighbour_graph(vectors, s.neighbours))
     after = materialize(communities.communities(snn, vectors.select("cell_id"), [resolution], s.seed), "after")
     both = baseline["clusters"].filter(F.abs(F.col("resolution") - resolution) < 1e-10).select("cell_id", F.col("cluster").alias("a")).join(after.select("cell_id", F.col("cluster").alias("b")), "cell_id").withColumn("k", F.lit(1))
     ari = stats.adjusted_rand(both, ["k"], "a", "b").first()["ari"]

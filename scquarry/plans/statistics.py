@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scquarry import model
 from scquarry.functions import stats
-from scquarry.operators import matrix, review
+from scquarry.operators import evidence, matrix, review
 from scquarry.plans.common import rounded
 from scquarry.plans.qc import metrics
 from scquarry.session import table
@@ -96,6 +96,7 @@ QUERIES = {
     "regression_coefficients": lambda s, d: rounded(matrix.regression_coefficients(normalized(s, d), "data", metrics(s, d).filter("pmt IS NOT NULL"), "pmt")),
     "scaled_values": scaled_values,
     "pc_selection": lambda s, d: stats.pc_selection(spectrum(s, d), ["label"]),
+    "pc_selection_table": lambda s, d: evidence.to_metrics(stats.pc_selection(spectrum(s, d), ["label"]), ["label"], ["max_pc", "pc_used", "selection_method"]),
     "pc_metadata_spearman": pc_metadata_spearman,
     "eta_squared": lambda s, d: rounded(stats.eta_squared(assignments(s, d).join(vector_cells(s, d).unpivot("cell_id", ["pmt", "ncount", "s_score"], "variable", "x"), "cell_id"), ["resolution", "variable"], "cluster", "x")),
     "cluster_profiles": lambda s, d: rounded(review.metric_profiles(assignments(s, d).filter("resolution = 0.8").join(vector_cells(s, d), "cell_id"), "cluster", ["pmt", "ncount", "s_score"])),
@@ -153,3 +154,6 @@ WHEN p_partkey % 7 <> 0 AND (p_partkey % 37)::DOUBLE / 36.0::DOUBLE >= p_size::D
     "metric_percentiles": """SELECT group_name, round(quantile_cont(pmt, 0.1), 6) AS p10, round(quantile_cont(pmt, 0.5), 6) AS median, round(quantile_cont(pmt, 0.9), 6) AS p90, round(quantile_cont(pmt, 0.99), 6) AS p99
 FROM cell_qc_all WHERE pmt IS NOT NULL AND isfinite(pmt) GROUP BY 1""",
 }
+
+SQL["pc_selection_table"] = f"""WITH s AS ({SQL["pc_selection"]}) SELECT label, 'max_pc' AS metric, max_pc::VARCHAR AS value FROM s UNION ALL SELECT label, 'pc_used', pc_used::VARCHAR FROM s
+UNION ALL SELECT label, 'selection_method', selection_method FROM s"""

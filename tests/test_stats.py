@@ -121,6 +121,8 @@ def test_neighbours_against_brute_force(spark):
     approx = graph.nearest_indexed(df, 10, lists=8, probes=6)
     exact = {(r["src"], r["dst"]) for r in graph.nearest(df, df, 10).collect()}
     assert len(exact & {(r["src"], r["dst"]) for r in approx.collect()}) / len(exact) >= 0.9
+    again = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 10, exact_rows=10).collect()}
+    assert len(exact & again) / len(exact) >= 0.9
     assert graph.nearest(df.filter("false"), df, 3).count() == 0
 
 
