@@ -61,11 +61,15 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encode(terms: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            packed = []
+            packed, distinct, times = [], [], []
             for s in b.column("text"):
-                codes = [x for st in sentences(s.as_py()) for x in [*(terms[w] for w in st if w in terms), -1]]
-                packed.append(np.array(codes, np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(packed, pa.binary())], ["doc_id", "lang", "codes"])
+                codes = np.array([x for st in sentences(s.as_py()) for x in [*(terms[w] for w in st if w in terms), -1]], np.int32)
+                packed.append(codes.tobytes())
+                t, n = np.unique(codes[codes >= 0], return_counts=True)
+                distinct.append(t.tobytes())
+                times.append(n.astype(np.float32).tobytes())
+            binary = [pa.array(x, pa.binary()) for x in (packed, distinct, times)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), *binary], ["doc_id", "lang", "codes", "terms", "times"])
 
     return run
 
@@ -88,17 +92,26 @@ def _vectors(keys, vectors) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(keys), pa.int32()), pa.array([v.tobytes() for v in vectors], pa.binary())], ["key", "vector"])
 
 
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a binary column end to end, and how many each row has."""
+    packed = column.to_pylist()
+    return np.frombuffer(b"".join(packed), kind), np.array([len(p) for p in packed], np.int64) // np.dtype(kind).itemsize
+
+
+def entries(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and frequency of the distinct terms of encoded documents, sorted by row and term."""
+    code, lengths = _flat(b.column("terms"), np.int32)
+    return np.repeat(np.arange(b.num_rows), lengths), code, _flat(b.column("times"), np.float32)[0]
+
+
 class Sparse:
     """Weighted term vectors of unit length of some documents, as triplets sorted by row."""
 
-    def __init__(self, packed: list[bytes], weight: np.ndarray) -> None:
-        lengths = np.array([len(p) // 4 for p in packed])
-        code = np.frombuffer(b"".join(packed), np.int32)
-        row = np.repeat(np.arange(len(packed)), lengths)
-        use = (code >= 0) & (weight[code] > 0)
-        pair, n = np.unique(row[use] * len(weight) + code[use], return_counts=True)
-        self.rows, self.row, self.col = len(packed), pair // len(weight), pair % len(weight)
-        value = (1 + np.log(n)) * weight[self.col]
+    def __init__(self, b: pa.RecordBatch, weight: np.ndarray) -> None:
+        row, code, n = entries(b)
+        use = weight[code] > 0
+        self.rows, self.row, self.col = b.num_rows, row[use], code[use]
+        value = (1 + np.log(n[use])) * weight[self.col]
         norm = np.sqrt(np.bincount(self.row, value**2, self.rows))
         self.value = value / norm[self.row]
 
@@ -122,7 +135,7 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 
 class _Pass:
-    """Sums over all documents, made where they lie: each(packed codes, batch) gives (keys, vectors) to be added up."""
+    """Sums over all documents, made where they lie: each(batch) gives (keys, vectors) to be added up."""
 
     def __init__(self, docs: DataFrame, rows: int = 500) -> None:
         self.docs, self.rows = docs, rows
@@ -134,8 +147,7 @@ class _Pass:
             total: dict[int, np.ndarray] = {}
             for big in batches:
                 for at in range(0, big.num_rows, rows):
-                    b = big.slice(at, rows)
-                    keys, vectors = each(b.column("codes").to_pylist(), b)
+                    keys, vectors = each(big.slice(at, rows))
                     for k, v in zip(keys, vectors):
                         total[k] = total[k] + v if (k := int(k)) in total else v
             yield _vectors(total.keys(), total.values())
@@ -165,8 +177,8 @@ def truncated_svd(docs: _Pass, weight_shared, size: int, start: np.ndarray | Non
     for _ in range(POWER + (start is None)):
         shared = spark.sparkContext.broadcast(q)
 
-        def each(packed, _b, shared=shared):
-            x = Sparse(packed, weight_shared.value)
+        def each(b, shared=shared):
+            x = Sparse(b, weight_shared.value)
             return x.transposed_times(x.times(shared.value)) if len(x.row) else ((), ())
 
         z = np.zeros((size, width))
@@ -203,11 +215,11 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
     codes = {r["term"]: i for i, r in enumerate(kept)}
     rarity = np.array([np.log(1 + total / r["n"]) for r in kept])
     frequency = np.array([r["n"] for r in kept], float)
-    encoded = materialize(used.mapInArrow(_encode(codes), "doc_id bigint, lang string, codes binary"), "encoded")
+    encoded = materialize(used.mapInArrow(_encode(codes), "doc_id bigint, lang string, codes binary, terms binary, times binary"), "encoded")
     number = F.create_map(*[x for i, s in enumerate(subjects) for x in (F.lit(s), F.lit(i))])
     single = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), number[F.col("subject")].alias("s")).filter("s IS NOT NULL").groupBy("doc_id").agg(F.min("s").alias("s"), F.max("s").alias("_m")).filter("s = _m").drop("_m")
     single = single.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    seeds = materialize(encoded.join(single, "doc_id"), "seeds")
+    seeds = materialize(encoded.drop("codes").join(single, "doc_id"), "seeds")
     by_lang = seeds.groupBy("s", "lang").count().filter(F.col("count") >= max(LEAST_SEEDS, SEED_SHARE * seeds.count())).collect()  # at most MAX_LABELLED / LEAST_SEEDS rows
     if not by_lang:
         return spark.createDataFrame([], schema)
@@ -216,14 +228,13 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
     size, k = len(kept), len(subjects)
 
     def counts_of(rows: _Pass, subject: Callable) -> tuple[np.ndarray, np.ndarray]:
-        """Documents by term and subject and by subject, of the documents to which subject(packed, batch) gives one (else -1)."""
-
-        def each(packed, b):
-            s = subject(packed, b)
-            take = [np.unique(c[c >= 0]) if x >= 0 else c[:0] for p, x in zip(packed, s) if (c := np.frombuffer(p, np.int32)) is not None]
-            of = np.repeat(s, [len(t) for t in take])
-            col = np.concatenate(take) if take else np.zeros(0, np.int64)
-            pair, n = np.unique(col.astype(np.int64) * k + of, return_counts=True)
+        """Documents by term and subject and by subject, of the documents to which subject(batch) gives one (else -1)."""
+
+        def each(b):
+            s = subject(b)
+            row, code, _ = entries(b)
+            of = s[row]
+            pair, n = np.unique(code[of >= 0].astype(np.int64) * k + of[of >= 0], return_counts=True)
             first = np.flatnonzero(np.r_[True, pair[1:] // k != pair[:-1] // k]) if len(pair) else []
             out = np.zeros((len(first), k))
             out[np.cumsum(np.isin(np.arange(len(pair)), first)) - 1, pair % k] = n
@@ -237,8 +248,8 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
                 c[key] = v
         return c, d
 
-    all_docs, seed_docs = _Pass(encoded), _Pass(seeds)
-    counts, have = counts_of(seed_docs, lambda _p, b: np.array(b.column("s").to_pylist(), int))
+    all_docs, seed_docs = _Pass(encoded.select("terms", "times")), _Pass(seeds)
+    counts, have = counts_of(seed_docs, lambda b: np.array(b.column("s").to_pylist(), int))
     start = None
     for _ in range(ROUNDS):
         weight = rarity * topicality(counts, have)
@@ -249,8 +260,8 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
         start = basis
         base = spark.sparkContext.broadcast(basis)
 
-        def seed_sums(packed, b, near=None, shared=shared, base=base):
-            e = _unit(Sparse(packed, shared.value).times(base.value))
+        def seed_sums(b, near=None, shared=shared, base=base):
+            e = _unit(Sparse(b, shared.value).times(base.value))
             g = np.array([group.get(x, -1) for x in zip(b.column("s").to_pylist(), b.column("lang").to_pylist())])
             ok = (g >= 0) & e.any(axis=1)
             if near is not None:
@@ -264,49 +275,53 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
             return _unit(new)
 
         centroids = placed(seed_docs.sums(seed_sums), np.zeros((len(group), basis.shape[1])))
-        centroids = placed(seed_docs.sums(lambda p, b, c=centroids, f=seed_sums: f(p, b, c)), centroids)  # without the labels that look wrong
+        centroids = placed(seed_docs.sums(lambda b, c=centroids, f=seed_sums: f(b, c)), centroids)  # without the labels that look wrong
 
-        def nearest(packed, c, shared=shared, base=base):
-            e = _unit(Sparse(packed, shared.value).times(base.value))
+        def nearest(b, c, shared=shared, base=base):
+            e = _unit(Sparse(b, shared.value).times(base.value))
             near = e @ c.T
             return e, np.where(near.max(axis=1) >= CONFIDENT, near.argmax(axis=1), -1)
 
         for _ in range(REFINEMENTS):
 
-            def moved(packed, _b, c=centroids, nearest=nearest):
-                e, g = nearest(packed, c)
+            def moved(b, c=centroids, nearest=nearest):
+                e, g = nearest(b, c)
                 return [*np.unique(g[g >= 0])], [e[g == x].sum(axis=0) for x in np.unique(g[g >= 0])]
 
             centroids = placed(all_docs.sums(moved), centroids)
-        counts, have = counts_of(all_docs, lambda p, _b, c=centroids, f=nearest: np.r_[subject_of, -1][f(p, c)[1]])
+        counts, have = counts_of(all_docs, lambda b, c=centroids, f=nearest: np.r_[subject_of, -1][f(b, c)[1]])
     typical = (frequency * weight**2).sum() / (frequency * weight).sum()
     vectors = spark.sparkContext.broadcast((basis * weight[:, None]).astype(np.float32))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, found = [], []
-            for i, p in zip(b.column("doc_id").to_pylist(), b.column("codes").to_pylist()):
-                on = sentence_subjects(np.frombuffer(p, np.int32), vectors.value, centroids, subject_of, LEAST_LENGTH * typical)
-                n = np.bincount(on[on >= 0], minlength=k)
-                for s in np.argsort(-n, kind="stable")[:MOST]:
-                    if n[s] >= max(SENTENCES, SENTENCE_SHARE * n.sum()):
-                        ids.append(i)
-                        found.append(subjects[s])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string())], ["doc_id", "subject"])
-
-    return encoded.mapInArrow(classify, schema)
-
-
-def sentence_subjects(code: np.ndarray, vectors: np.ndarray, centroids: np.ndarray, subject_of: np.ndarray, least: float) -> np.ndarray:
-    """The subject of each sentence of a document's codes (-1 ends a sentence), or -1."""
-    sentence = np.cumsum(code < 0) - (code < 0)
+        for big in batches:
+            for at in range(0, big.num_rows, 500):
+                b = big.slice(at, 500)
+                n = sentence_counts(b, vectors.value, centroids, subject_of, k, LEAST_LENGTH * typical)
+                order = np.argsort(-n, axis=1, kind="stable")[:, :MOST]
+                top = np.take_along_axis(n, order, 1)
+                row, place = np.nonzero((top >= SENTENCES) & (top >= SENTENCE_SHARE * n.sum(axis=1, keepdims=True)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(subjects, pa.string()).take(pa.array(order[row, place]))], ["doc_id", "subject"])
+
+    return encoded.select("doc_id", "codes").mapInArrow(classify, schema)
+
+
+def sentence_counts(b: pa.RecordBatch, vectors: np.ndarray, centroids: np.ndarray, subject_of: np.ndarray, k: int, least: float) -> np.ndarray:
+    """Sentences by document and subject of encoded documents (-1 ends a sentence): each goes to the nearest centroid, if any is near."""
+    code, lengths = _flat(b.column("codes"), np.int32)
+    out = np.zeros((b.num_rows, k), np.int64)
     use = code >= 0
     if not use.any():
-        return np.zeros(0, int)
-    pair = np.unique(sentence[use].astype(np.int64) * len(vectors) + code[use])
+        return out
+    sentence = np.cumsum(~use)[use]
+    pair = np.unique(sentence * len(vectors) + code[use])
     row = pair // len(vectors)
     first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     e = np.add.reduceat(vectors[pair % len(vectors)], first, axis=0)
     length = np.linalg.norm(e, axis=1)
     near = (e / np.maximum(length, 1e-12)[:, None]) @ centroids.T
-    return np.where((length >= least) & (near.max(axis=1) >= LEAST_COSINE), subject_of[near.argmax(axis=1)], -1)
+    on = (length >= least) & (near.max(axis=1) >= LEAST_COSINE)
+    # the document of a sentence is that of its first term
+    document = np.repeat(np.arange(b.num_rows), lengths)[use][np.searchsorted(sentence, row[first])]
+    np.add.at(out, (document[on], subject_of[near.argmax(axis=1)][on]), 1)
+    return out
