@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,12 +31,29 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
 
 
 def guard(spark: SparkSession) -> None:
-    """Keep unions from claiming a partitioning.
+    """Send the package to the executors and keep unions from claiming a partitioning.
 
     Spark 4.1 takes a union of equally partitioned inputs as partitioned likewise; with adaptive execution that can leave the
     groups of a later aggregation in two parts. Without the claim there is one more exchange in such plans, and right counts.
     """
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    ship(spark)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per context: their Python workers need it, wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_scquarry", False):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="scquarry-")  # the driver serves it to the executors as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "scquarry.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._scquarry = True
 
 
 def shared_dir(spark: SparkSession) -> str:
