@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 DELIMITERS = ";,|/&\t\n\r"
 BRACKETS = {"[": "]", "{": "}", "(": ")"}
 QUOTES = "\"'"
+#: A value gets a code of its own if it makes up at least this share of all values: the code book has at most 2 ** 16 entries
+#: and no code more than BOOK_BITS.
+BOOK_BITS, BOOK_VALUE_CHARS = 16, 256
+BOOK_SHARE = 2.0**-BOOK_BITS
 #: Bits of the code: a character of a value that is spelt out, the start of such a value, the end of a value, a delimiter
 #: that a dialect leaves inside an unquoted value, a quotation that a dialect takes for plain characters (which the grammar
 #: of quoting all but rules out, so that it costs more than any short value).
-CHAR_BITS, SPELL_BITS, END_BITS, INSIDE_BITS, BARE_QUOTE_BITS = 6.0, 12.0, 1.0, 12.0, 256.0
-#: A value gets a code of its own if it makes up at least this share of all values: the code book has at most 2 ** 16 entries.
-BOOK_SHARE, BOOK_VALUE_CHARS = 2.0**-16, 256
+#: A delimiter inside costs as much as the dearest code and its end, whatever the size of the input: the parts of a joined
+#: value occur wherever it does, so that their codes are no dearer than its own, and splitting it never costs more. Only a
+#: value that occurs quoted too can stay whole without quotes.
+CHAR_BITS, SPELL_BITS, END_BITS, INSIDE_BITS, BARE_QUOTE_BITS = 6.0, 12.0, 1.0, BOOK_BITS + 1.0, 256.0
 
 #: A quotation mark where a quotation may open.
 _BARE_QUOTE = re.compile(r"(?:^|[;,|/&\t\n\r])\s*[\"']")

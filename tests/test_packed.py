@@ -27,6 +27,15 @@ def test_rare_delimiter_inside_a_value_stays():
     assert len(dialects("a;b,c")) == 4
 
 
+def test_lists_of_rare_values_split_at_any_size(spark):
+    """Each list occurs in two raw forms: as a whole it has the count of its values, and a code that grows with the table."""
+    for n in (100, 4_000):
+        lists = [[f"GSM{i}_L{j}" for j in range(1, 3 + i % 3)] for i in range(n)]
+        data = [(2 * i + k, "library_ids", f) for i, v in enumerate(lists) for k, f in enumerate((f" {','.join(v)} ", f"[{','.join(v)}]"))]
+        got = split_packed(spark.createDataFrame(data, "n int, kind string, f string"), "kind", "f").select("n", "item_pos", "item")
+        assert sorted(map(tuple, got.collect())) == [(2 * i + k, p, x) for i, v in enumerate(lists) for k in (0, 1) for p, x in enumerate(v, 1)]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(VALUES), min_size=1, max_size=6), st.sampled_from([";", ", ", " | ", "\t", "/", " & "]), st.sampled_from("\"'"))
 def test_round_trip_quoted(values, delimiter, mark):
