@@ -14,6 +14,8 @@ from scquarry.session import materialize
 
 #: Query vectors of one pass over the base; with vectors of 100 numbers about 3 MB.
 BLOCK = 4096
+#: Share of the true neighbours that an index must find, and the queries on which that is measured.
+RECALL, MEASURED = 0.9, 500
 
 
 def nearest(queries: DataFrame, base: DataFrame, k: int = 20, block: int = BLOCK) -> DataFrame:
@@ -75,13 +77,30 @@ def _arrow(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
 
-def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int = 16, sample: int = 20_000, queries: DataFrame | None = None) -> DataFrame:
+def _probes(ranks: np.ndarray, recall: float) -> int:
+    """The fewest lists to look at; ranks has, per measured query, the places of its true neighbours' lists among its nearest lists (-1: none).
+
+    The mean recall of the queries less two standard errors must reach recall.
+    """
+    have = (ranks >= 0).sum(axis=1)
+    ranks, have = ranks[have > 0], have[have > 0]
+    top = int(ranks.max(initial=0)) + 1
+    for p in range(1, top):
+        r = ((ranks >= 0) & (ranks < p)).sum(axis=1) / have
+        if r.mean() - 2 * r.std() / len(r) ** 0.5 >= recall:
+            return p
+    return top
+
+
+def nearest_indexed(base: DataFrame, k: int = 20, lists: int | None = None, probes: int | None = None, sample: int = 20_000, queries: DataFrame | None = None, recall: float = RECALL) -> DataFrame:
     """Approximate neighbours by an inverted file: src, dst, rnk, dist.
 
     lists centroids are fitted on a sample of at most so many rows (by a hash of the id); every row is then indexed in the list
     of its nearest centroid, and every query looks at its probes nearest lists. Lists beyond a bound are cut by a hash of the id
     into parts, and so are their queries; each part of the one meets each part of the other in a task of its own, so that a hot
-    list makes no large task and no row is left out. queries defaults to all rows.
+    list makes no large task and no row is left out. queries defaults to all rows, lists to the root of their number (64 to 4,096).
+    Without probes, as many lists are looked at as recall takes: MEASURED queries are searched exactly, and the places of their
+    true neighbours' lists tell the recall of every number of probes, up to all lists where the vectors have no structure.
     """
     spark, kind = base.sparkSession, base.schema["cell_id"].dataType.simpleString()
     rows = base.filter("cell_id IS NOT NULL AND vec IS NOT NULL").select("cell_id", F.col("vec").cast("array<double>").alias("vec"))
@@ -89,6 +108,7 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
     fit = np.array([r["vec"] for r in rows.orderBy(F.xxhash64("cell_id"), "cell_id").limit(sample).select("vec").collect()])
     if not len(fit):
         return spark.createDataFrame([], f"src {kind}, dst {kind}, rnk int, dist double")
+    lists = lists or min(4096, max(64, int(rows.count() ** 0.5)))
     c = fit[np.linspace(0, len(fit) - 1, min(lists, len(fit))).astype(int)]
     for _ in range(8):
         near = ((c * c).sum(1)[None, :] - 2 * fit @ c.T).argmin(1)
@@ -107,7 +127,20 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
         return run
 
     schema = f"cell_id {kind}, vec array<double>, lists array<int>"
-    at = rows.mapInArrow(lists_of(1), schema).select("cell_id", "vec", F.col("lists")[0].alias("list"))
+    at = materialize(rows.mapInArrow(lists_of(1), schema).select("cell_id", "vec", F.col("lists")[0].alias("list")), "lists")
+    if probes is None:
+        some = asked.orderBy(F.xxhash64("cell_id", F.lit(1)), "cell_id").limit(MEASURED).collect()
+        true = nearest(spark.createDataFrame(some, asked.schema), rows, k).join(at.select(F.col("cell_id").alias("dst"), "list"), "dst").select("src", "list").collect()
+        of = {r["cell_id"]: i for i, r in enumerate(some)}
+        x = np.array([r["vec"] for r in some]).reshape(len(some), -1)
+        place = ((c * c).sum(1)[None, :] - 2 * x @ c.T).argsort(axis=1, kind="stable").argsort(axis=1) if len(some) else None
+        held: list[list[int]] = [[] for _ in some]
+        for r in true:
+            held[of[r["src"]]].append(int(place[of[r["src"]], r["list"]]))
+        ranks = np.full((len(some), max(map(len, held), default=0)), -1)
+        for i, h in enumerate(held):
+            ranks[i, : len(h)] = h
+        probes = _probes(ranks, recall)
     sizes = at.groupBy("list").agg((F.ceil(F.count(F.lit(1)) / 20_000.0)).cast("int").alias("parts"))  # one row per list
     own = F.pmod(F.xxhash64("cell_id"), F.col("parts")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
@@ -142,12 +175,8 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int = 64, probes: int =
 
 
 def neighbour_graph(vectors: DataFrame, k: int = 20, exact_rows: int = 100_000) -> DataFrame:
-    """The k nearest of every vector: by exact search up to exact_rows vectors, beyond that by the inverted file."""
-    n = vectors.count()
-    if n <= exact_rows:
-        return nearest(vectors, vectors, k)
-    lists = min(4096, max(64, int(n**0.5)))
-    return nearest_indexed(vectors, k, lists=lists, probes=max(16, lists // 8))
+    """The k nearest of every vector: by exact search up to exact_rows vectors, beyond that by the inverted file with a measured recall."""
+    return nearest(vectors, vectors, k) if vectors.count() <= exact_rows else nearest_indexed(vectors, k)
 
 
 def shared_neighbours(nn: DataFrame, prune: float = 1 / 15) -> DataFrame:

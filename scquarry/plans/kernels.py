@@ -52,9 +52,9 @@ def overlap(s: SparkSession, d: str) -> DataFrame:
 
 
 def indexed_neighbours(s: SparkSession, d: str) -> DataFrame:
-    """Neighbours by the inverted file, of every vector whose id is divisible by 50, against all."""
+    """Neighbours by the inverted file as the pipeline sets it, of every vector whose id is divisible by 50, against all."""
     v = vectors(s, d)
-    return graph.nearest_indexed(v, K, lists=16, probes=12, queries=v.filter("cell_id % 50 = 0"))
+    return graph.nearest_indexed(v, K, queries=v.filter("cell_id % 50 = 0"))
 
 
 QUERIES = {

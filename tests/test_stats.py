@@ -7,6 +7,7 @@ from conftest import rows
 
 from scquarry.functions import stats
 from scquarry.operators import graph, matrix, quality, review
+from scquarry.session import materialize
 
 R = {"nfeature_min": 200, "nfeature_max": 4000, "ncount_min": 500, "ncount_max": 30000, "pmt_max": 25, "phb_max": 1, "prp_max": 100}
 CELLS = "cell_id string, sample string, nfeature double, ncount double, pmt double, phb double, prp double"
@@ -126,6 +127,16 @@ def test_neighbours_against_brute_force(spark):
     assert graph.nearest(df.filter("false"), df, 3).count() == 0
 
 
+def test_index_reaches_its_recall_in_64_dimensions(spark):
+    r = np.random.default_rng(5)
+    plain = r.normal(size=(2500, 64))
+    for x in (plain, 3 * r.normal(size=(25, 64))[r.integers(0, 25, 2500)] + plain):
+        df = materialize(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cell_id bigint, vec array<double>"), "vectors")
+        exact = {(r["src"], r["dst"]) for r in graph.nearest(df, df, 20).collect()}
+        found = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 20, exact_rows=1000).collect()}
+        assert len(exact & found) / len(exact) >= 0.9
+
+
 def test_expected_doublets_round_half_to_even(spark):
     h = spark.createDataFrame([("a", 112, 0.2), ("b", 113, 0.2), ("c", 12, 0.9)], "library_id string, n_cells bigint, homotypic double")
     got = {r["library_id"]: (r["n_exp"], r["n_exp_adj"], r["valid"]) for r in review.expected_doublets(h).collect()}
