@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 #: Consecutive words that a document must share with a passage; words of a window. Windows of a document start at every
 #: RUN - WINDOW + 1 words: each run of RUN shared words then holds one of them as a whole.
 RUN, WINDOW = 12, 8
-#: Steps of the random walk, sampled steps of a signature, signatures of a window, edits at which two windows still match.
-STEPS, SAMPLED, TABLES, EDITS = 3 * WINDOW, 12, 3, 2
-#: Windows of test items that one pass over the corpus looks for; their signatures (8 bytes each and table) go to every task.
+#: Steps of the random walk, edits at which two windows still match, share of the pairs within them that must collide.
+STEPS, EDITS, RECALL = 3 * WINDOW, 2, 0.9
+#: Sampled steps of a signature, signatures of a window: so many that each kind of two edits reaches RECALL with a margin.
+#: Measured on random windows: two substitutions 0.96, one and an insertion or deletion 0.97, two insertions or deletions 0.99.
+SAMPLED, TABLES = 8, 32
+#: Windows of test items that one pass over the corpus looks for; their signatures (12 bytes each and table) go to every task.
 BLOCK_WINDOWS = 200_000
-#: Words that a task looks at together.
-BATCH_WORDS = 150_000
+#: Words that a task looks at together, pairs of windows that it compares together.
+BATCH_WORDS, BATCH_PAIRS = 40_000, 200_000
 
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
@@ -88,6 +91,19 @@ def edit_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return row[m]
 
 
+def window_edits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The edits between each row of left and the same row of right, any number above EDITS where there are more than EDITS."""
+    same = (left == right).sum(axis=1)
+    edits = np.where(same >= WINDOW - EDITS, WINDOW - same, EDITS + 1)
+    # where words are shifted by an insertion, only the full distance can tell; it needs shared words all the same
+    shifted = np.flatnonzero(same < WINDOW - EDITS)
+    shared = sum((left[shifted, i : i + 1] == right[shifted]).any(axis=1).astype(np.int64) for i in range(WINDOW))
+    shifted = shifted[shared >= WINDOW - EDITS]
+    if len(shifted):
+        edits[shifted] = edit_distance(left[shifted], right[shifted])
+    return edits
+
+
 class Index:
     """Signatures of all windows of a block of passages."""
 
@@ -102,7 +118,7 @@ class Index:
         for t in range(TABLES):
             s = signatures(self.code, self.starts, t)
             order = np.argsort(s, kind="stable")
-            self.tables.append((s[order], order))
+            self.tables.append((s[order], order.astype(np.int32)))
 
     def candidates(self, code: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a document window and an item window with equal signatures in any table."""
@@ -130,13 +146,10 @@ def search(index: Index, docs: list[tuple[int, list[int]]]) -> list[tuple[int, s
         return []
     a, b = index.candidates(code, starts)
     span = np.arange(WINDOW)
-    left, right = code[starts[a][:, None] + span], index.code[index.starts[b][:, None] + span]
-    same = (left == right).sum(axis=1)
-    edits = np.where(same >= WINDOW - EDITS, WINDOW - same, EDITS + 1)
-    # where words are shifted by an insertion, only the full distance can tell; it needs shared words all the same
-    shifted = np.flatnonzero(same < WINDOW - EDITS)
-    if len(shifted):
-        edits[shifted] = edit_distance(left[shifted], right[shifted])
+    edits = np.zeros(len(a), np.int64)
+    for at in range(0, len(a), BATCH_PAIRS):
+        x, y = a[at : at + BATCH_PAIRS], b[at : at + BATCH_PAIRS]
+        edits[at : at + BATCH_PAIRS] = window_edits(code[starts[x][:, None] + span], index.code[index.starts[y][:, None] + span])
     good = edits <= EDITS
     found: dict[tuple[int, int], list[int]] = {}
     reach: dict[tuple[int, int, int], int] = {}
@@ -165,7 +178,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
 
     run_words is the length of the longest run of consecutive words that contains a window that both have exactly (0 if none has:
     every shared run of RUN words or more is found, whatever the random functions); windows counts the document's windows that
-    match within EDITS edits of a word each, found with a probability that grows with TABLES; edits is the least of these.
+    match within EDITS edits of a word each, each such pair of windows found with a probability of RECALL or more; edits is the least
+    of these. A stretch of RUN words with at most EDITS edits holds one such window.
 
     Every text is read whole, where it lies: the stated set of test items goes to the tasks in blocks of bounded size, one pass
     over the corpus each. Items of equal passages all count. Null, blank or too short texts and passages match nothing, repeated

@@ -163,6 +163,35 @@ def test_every_run_is_found_and_edits_mostly(spark):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize("kind", ["two substituted", "inserted", "deleted"])
+def test_windows_without_exact_copies_reach_the_recall(kind):
+    """Against the edit distance of all pairs of windows, on copies with edits so dense that no window is exact."""
+    r = random.Random(12)
+    items = [(f"I{i}", [r.getrandbits(60) for _ in range(40)]) for i in range(60)]
+    docs = []
+    for d, (_, p) in enumerate(items):
+        if kind == "two substituted":
+            q = [r.getrandbits(60) if i % 4 == 1 else c for i, c in enumerate(p)]
+        elif kind == "inserted":
+            q = [x for i, c in enumerate(p) for x in ([r.getrandbits(60), c] if i % 6 == 3 else [c])]
+        else:
+            q = [c for i, c in enumerate(p) if i % 7 != 3]
+        docs.append((d, [r.getrandbits(60) for _ in range(r.randrange(30))] + q))
+    index = leaks.Index(items)
+    near, hit = 0, 0
+    for (d, c), (_, p) in zip(docs, items):
+        code, starts = np.array(c, np.uint64), np.arange(0, len(c) - leaks.WINDOW + 1, leaks.RUN - leaks.WINDOW + 1)
+        mine = np.flatnonzero(index.item == d)
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(len(starts)), mine, indexing="ij"))
+        span = np.arange(leaks.WINDOW)
+        e = leaks.edit_distance(code[starts[i][:, None] + span], index.code[index.starts[j][:, None] + span])
+        assert e.min() > 0
+        pairs = set(zip(i[e <= leaks.EDITS].tolist(), j[e <= leaks.EDITS].tolist()))
+        near, hit = near + len(pairs), hit + len(pairs & set(zip(*(x.tolist() for x in index.candidates(code, starts)))))
+    assert near > 100 and hit / near >= 0.9
+    assert {(d, f"I{d}") for d, _ in docs} <= {x[:2] for x in leaks.search(index, docs)}
+
+
 def test_edit_distance():
     a = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 3, 4]])
     b = np.array([[1, 2, 3, 4], [2, 3, 4, 5], [9, 8, 7, 6]])
