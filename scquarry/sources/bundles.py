@@ -18,6 +18,8 @@ from scquarry.operators.matrix import fingerprint
 from scquarry.sources.routing import safe_path
 
 MANIFEST = ("database", "sample", "tissue", "disease", "source_type", "group", "local_path", "file_type", "count_source", "count_evidence", "metadata_evidence", "files_json")
+#: Values of a kind of problem that are named; beyond them the number of all is given.
+EXAMPLES = 20
 READABLE = ("10x_mtx", "10x_h5", "h5ad", "rds", "text")
 
 
@@ -97,7 +99,11 @@ def report_rows(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 
 def validate_manifest(rows: DataFrame, root: str | Path | None = None) -> list[str]:
-    """What is wrong with a manifest: missing fields, repeated samples, unreadable kinds, shared inputs without a map, unsafe paths."""
+    """What is wrong with a manifest: missing fields, repeated samples, unreadable kinds, shared inputs without a map, unsafe paths.
+
+    All rows are checked. Every unsafe path is named; of repeated samples, kinds and shared inputs EXAMPLES are, with the number of
+    all where there are more.
+    """
     problems = [f"missing field: {c}" for c in MANIFEST if c not in rows.columns]
     if problems:
         return problems
@@ -105,12 +111,20 @@ def validate_manifest(rows: DataFrame, root: str | Path | None = None) -> list[s
     needed = ("database", "sample", "group", "local_path", "file_type")
     seen = rows.agg(*[F.count(F.when(blank(c), 1)).alias(c) for c in needed]).first()
     problems += [f"blank {c} in {seen[c]} rows" for c in needed if seen[c]]
-    problems += [f"Duplicate sample: {r['sample']}" for r in rows.groupBy("sample").count().filter("count > 1").orderBy("sample").limit(20).collect()]
-    problems += [f"Unsupported file_type: {r['file_type']}" for r in rows.filter(~F.col("file_type").isin(*READABLE)).select("file_type").distinct().limit(20).collect()]
+
+    def report(found: DataFrame, what: str, column: str) -> None:
+        """The problem for the first EXAMPLES of the values found, and how many there are if they are more."""
+        some = [r[0] for r in found.select(column).orderBy(column).limit(EXAMPLES + 1).collect()]
+        problems.extend(f"{what}: {v}" for v in some[:EXAMPLES])
+        if len(some) > EXAMPLES:
+            problems.append(f"{what}: {found.count()} in all")
+
+    report(rows.groupBy("sample").count().filter("count > 1"), "Duplicate sample", "sample")
+    report(rows.filter(~F.col("file_type").isin(*READABLE)).select("file_type").distinct(), "Unsupported file_type", "file_type")
     mapped = F.col("cell_map_path").isNotNull() & (F.trim("cell_map_path") != "") if "cell_map_path" in rows.columns else F.lit(False)
     shared = rows.groupBy("local_path").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(mapped, 1)).alias("m")).filter("n > 1 AND m < n")
-    problems += [f"Shared input without a cell map: {r['local_path']}" for r in shared.limit(20).collect()]
-    for r in rows.select("local_path").distinct().limit(10_000).collect() if root else ():
+    report(shared, "Shared input without a cell map", "local_path")
+    for r in rows.select("local_path").distinct().orderBy("local_path").toLocalIterator() if root else ():
         try:
             safe_path(root, r["local_path"] or "")
         except ValueError as e:

@@ -4,6 +4,7 @@ import tarfile
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from scquarry.sources import bundles, matrices, routing
 
@@ -133,6 +134,16 @@ def test_manifest(spark):
     assert bundles.read_signature(make({"sample": "1"}, {"sample": "2", "count_source": "y"})).count() == 1
 
 
+def test_large_manifest_is_checked_as_a_whole(spark):
+    n = 12_000
+    line = {c: F.lit("x") for c in bundles.MANIFEST} | {"sample": (F.col("id") % (n - 30)).cast("string"), "file_type": F.concat(F.lit("kind"), F.col("id") % 25)}
+    rows = spark.range(n).select(*[c.alias(k) for k, c in (line | {"local_path": F.concat(F.lit("../"), F.col("id") % (n - 40))}).items()])
+    problems = bundles.validate_manifest(rows, "/tmp")
+    assert sum(p.startswith("unsafe path: ") for p in problems) == n - 40
+    for what, count in (("Duplicate sample", 30), ("Unsupported file_type", 25), ("Shared input without a cell map", 40)):
+        assert f"{what}: {count} in all" in problems and sum(p.startswith(what) for p in problems) == 21
+
+
 def test_streams(spark, tmp_path):
     from scquarry.model import COUNTS
     from scquarry.operators.matrix import cell_totals
