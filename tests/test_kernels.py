@@ -86,6 +86,15 @@ def test_module_scores(spark, counts, cells):
     assert scores.control_size([43, 54], 300) == 11
 
 
+def test_module_scores_of_many_sets(spark, counts, cells):
+    df, _ = counts
+    genes = spark.createDataFrame([(f"g{j:03d}",) for j in range(120)], "gene_id string")
+    sets = spark.createDataFrame([(f"set{i:04d}", f"g{i % 120:03d}") for i in range(1100)], "set_name string, gene_id string")
+    some = cells.filter("cell_id < 'c003'")
+    got = scores.module_scores(df.filter("cell_id < 'c003'"), some, genes, sets, 2, value="value")
+    assert got.count() == 3 * 1100 == got.select("cell_id", "set_name").distinct().count()
+
+
 def test_integration(spark):
     r = np.random.default_rng(5)
     kind, batch = np.arange(300) % 3, np.arange(300) // 3 % 2
