@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scquarry.functions.text import each_of
 from scquarry.session import materialize
 
-ROUNDS, LEVELS, LEAST_MOVED = 10, 2, 0.002
+ROUNDS, LEAST_MOVED = 10, 0.002
 
 
 def _moves(edges: DataFrame, state: DataFrame, total: float, rounds: int, seed: int) -> DataFrame:
@@ -40,12 +40,12 @@ def _moves(edges: DataFrame, state: DataFrame, total: float, rounds: int, seed:
     return state
 
 
-def communities(edges: DataFrame, nodes: DataFrame, resolutions: list[float], seed: int = 42, rounds: int = ROUNDS, levels: int = LEVELS) -> DataFrame:
+def communities(edges: DataFrame, nodes: DataFrame, resolutions: list[float], seed: int = 42, rounds: int = ROUNDS, levels: int | None = None) -> DataFrame:
     """cell_id, resolution, cluster (0, 1, ... by size, then by the smallest member): groups of high modularity.
 
     edges: src, dst, weight (each undirected edge once); nodes: cell_id. All resolutions move in the same rounds. Nodes move in
-    halves by a seeded hash, so that results don't depend on partitions; groups found in one level are the nodes of the next.
-    A node without edges stays alone.
+    halves by a seeded hash, so that results don't depend on partitions; groups found in one level are the nodes of the next,
+    until a level joins no groups (or for so many levels). A node without edges stays alone.
     """
     both = edges.select("src", "dst", F.col("weight").cast("double").alias("weight"))
     both = materialize(both.union(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")), "edges")
@@ -54,7 +54,12 @@ def communities(edges: DataFrame, nodes: DataFrame, resolutions: list[float], se
     start = degree.select("id", F.coalesce("degree", F.lit(0.0)).alias("degree"), F.col("id").alias("c"), each_of([float(r) for r in resolutions], "double").alias("resolution")).select("resolution", "id", "degree", "c")
     state = _moves(both, materialize(start, "start"), total, rounds, seed)
     out = state.select("resolution", F.col("id").alias("cell_id"), "c")
-    for level in range(1, levels):
+    level, left = 0, None
+    while levels is None or level + 1 < levels:
+        before, left = left, state.select("resolution", "c").distinct().count()
+        if left == before:
+            break
+        level += 1
         # groups as nodes: an edge belongs to the resolution whose groups it joins
         a = state.select("resolution", F.col("id").alias("src"), F.col("c").alias("s"))
         b = state.select(F.col("resolution").alias("_r"), F.col("id").alias("dst"), F.col("c").alias("d"))

@@ -95,6 +95,15 @@ def test_module_scores_of_many_sets(spark, counts, cells):
     assert got.count() == 3 * 1100 == got.select("cell_id", "set_name").distinct().count()
 
 
+def test_communities_go_on_to_further_levels(spark):
+    """A chain of 400 nodes is best cut into some 20 groups; two levels leave far more."""
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(399)], "src bigint, dst bigint, weight double")
+    nodes = spark.range(400).withColumnRenamed("id", "cell_id")
+    got = communities.communities(edges, nodes, [1.0])
+    assert got.count() == 400
+    assert communities.modularity(edges, got).first()["modularity"] > 0.88
+
+
 def test_integration(spark):
     r = np.random.default_rng(5)
     kind, batch = np.arange(300) % 3, np.arange(300) // 3 % 2
