@@ -80,11 +80,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the passages that they hold, edited or not; equal passages are represented by their least item."""
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p8_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of every passage, by the item that p8_leaks names."""
+    return leaks.members_of(table(spark, sf_dir, "eval_items"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p8_leaks(spark, sf_dir).filter(F.col("run_words") >= leaks.RUN).select("doc_id", "item_id")
+    found = p8_leaks(spark, sf_dir).filter(F.col("run_words") >= leaks.RUN).select("doc_id", "item_id")
+    return found.join(p8_members(spark, sf_dir), "item_id").select("doc_id", F.col("member").alias("item_id"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +115,7 @@ QUERIES = {
     "p7_containers": p7_containers,
     "p7_found": p7_found,
     "p8_leaks": p8_leaks,
+    "p8_members": p8_members,
     "p8_found": p8_found,
     "p9_found": p9_found,
     "p9_composition": p9_composition,
@@ -146,3 +154,4 @@ _RUNS = "SELECT DISTINCT {0}, array_to_string(w[i:i + 11], ' ') AS r FROM (SELEC
 SQL["p7_found"] = rf"SELECT doc_id FROM documents WHERE len(regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_{_SPACE}]+')) > {CAPACITY}"
 SQL["p8_found"] = f"""WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text IS NOT NULL), e AS (SELECT item_id, {_WORDS.format("passage")} AS w FROM eval_items),
 x AS ({_RUNS.format("doc_id", "d")}), y AS ({_RUNS.format("item_id", "e")}) SELECT DISTINCT doc_id, item_id FROM x JOIN y USING (r)"""
+SQL["p8_members"] = f"WITH e AS (SELECT DISTINCT item_id, {_WORDS.format('passage')} AS w FROM eval_items WHERE passage IS NOT NULL) SELECT min(item_id) OVER (PARTITION BY w) AS item_id, item_id AS member FROM e WHERE len(w) >= 12"

@@ -1,5 +1,6 @@
 import collections
 import math
+import os
 import random
 
 import numpy as np
@@ -118,6 +119,7 @@ def test_pack_edges(spark):
     assert len(sizes) == 2 and min(r["count"] for r in sizes) > 10000
 
 
+@pytest.mark.skipif(not os.path.exists("/opt/tokenizers/byte_bpe_50k.json"), reason="no tokenizer file")
 def test_tokenizer_file():
     t = packing.tokenizer_file("/opt/tokenizers/byte_bpe_50k.json")
     assert 2 <= len(t("hello world")) <= 4 and t("") == []
@@ -128,74 +130,85 @@ def sentence(r, n, vocabulary=4000):
     return [f"w{r.randrange(vocabulary)}" for _ in range(n)]
 
 
-def test_every_run_is_found_and_edits_mostly(spark):
+def edited(r, p, kind, every):
+    """p with an edit of the kind in every stretch of so many words."""
+    out = []
+    for i, w in enumerate(p):
+        at = i % every == every // 2
+        out += [] if at and kind == "d" else [f"x{r.randrange(10**9)}"] if at and kind == "s" else [f"x{r.randrange(10**9)}", w] if at and kind == "i" else [w]
+    return out
+
+
+def test_every_run_is_found_and_edits_too(spark):
     r = random.Random(6)
-    passages = [sentence(r, 40) for _ in range(30)] + [sentence(r, 7)]
-    items = [(f"I{i}", " ".join(p)) for i, p in enumerate(passages)] + [("copy", " ".join(passages[0])), ("null", None), (None, "x")]
-    docs, want, near = [], set(), set()
-    for d in range(200):
+    passages = [sentence(r, 60) for _ in range(30)] + [sentence(r, 11)]
+    items = [(f"I{i}", " ".join(p)) for i, p in enumerate(passages)] + [("copy", " ".join(passages[0])), ("null", None), (None, "x"), ("I3", " ".join(passages[3]))]
+    docs, want, near = [], set(), {(k, every): set() for k in "sid" for every in (6, 11)}
+    for d in range(400):
         w = sentence(r, r.randrange(0, 300))
+        i, at = r.randrange(1, 30), r.randrange(0, len(w) + 1)
         if d % 4 == 0:
-            i = r.randrange(30)
-            n, at = r.choice([12, 13, 20, 40]), r.randrange(0, len(w) + 1)
-            s = r.randrange(0, 41 - n)
+            n, i = r.choice([12, 13, 20, 60]), r.randrange(30)
+            s = r.randrange(0, 61 - n)
             w[at:at] = passages[i][s : s + n]
-            want.add((d, f"I{i}"))
-            if i == 0:
-                want.add((d, "copy"))
-        elif d % 4 == 1:
-            i = r.randrange(1, 30)
-            p = list(passages[i])
-            for k in range(4, 40, 9):
-                p[k] = "changed"
-            w[:0] = p
-            near.add((d, f"I{i}"))
+            want |= {(d, f"I{i}"), (d, "copy")} if i == 0 else {(d, f"I{i}")}
+        elif d % 4 == 1:  # every window of twelve words has an edit or two
+            kind = r.choice(sorted(near))
+            w[at:at] = edited(r, passages[i], *kind)
+            near[kind].add((d, f"I{i}"))
         elif d % 4 == 2:
-            w[:0] = passages[r.randrange(30)][:11]
+            w[at:at] = passages[i][:11]
         docs.append((d, " ".join(w).upper().replace("W1", "Ẃ1").replace(" W2", " <b>W2").replace(" W3", "</b> W3")))
-    docs += [(1000, None), (1001, ""), (1002, "short text")]
-    for block in (leaks.BLOCK_WINDOWS, 100):
-        out = leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id string, passage string"), block_windows=block)
-        found = {(x["doc_id"], x["item_id"]): x for x in out.collect()}
-        assert {k for k, x in found.items() if x["run_words"] >= 12} == want
-        assert len(near & set(found)) / len(near) >= 0.9
-    none = leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([], "item_id string, passage string"))
-    assert none.count() == 0
-
-
-@pytest.mark.parametrize("kind", ["two substituted", "inserted", "deleted"])
-def test_windows_without_exact_copies_reach_the_recall(kind):
-    """Against the edit distance of all pairs of windows, on copies with edits so dense that no window is exact."""
-    r = random.Random(12)
-    items = [(f"I{i}", [r.getrandbits(60) for _ in range(40)]) for i in range(60)]
-    docs = []
-    for d, (_, p) in enumerate(items):
-        if kind == "two substituted":
-            q = [r.getrandbits(60) if i % 4 == 1 else c for i, c in enumerate(p)]
-        elif kind == "inserted":
-            q = [x for i, c in enumerate(p) for x in ([r.getrandbits(60), c] if i % 6 == 3 else [c])]
-        else:
-            q = [c for i, c in enumerate(p) if i % 7 != 3]
-        docs.append((d, [r.getrandbits(60) for _ in range(r.randrange(30))] + q))
-    index = leaks.Index(items)
-    near, hit = 0, 0
-    for (d, c), (_, p) in zip(docs, items):
-        code, starts = np.array(c, np.uint64), np.arange(0, len(c) - leaks.WINDOW + 1, leaks.RUN - leaks.WINDOW + 1)
-        mine = np.flatnonzero(index.item == d)
-        i, j = (x.ravel() for x in np.meshgrid(np.arange(len(starts)), mine, indexing="ij"))
-        span = np.arange(leaks.WINDOW)
-        e = leaks.edit_distance(code[starts[i][:, None] + span], index.code[index.starts[j][:, None] + span])
-        assert e.min() > 0
-        pairs = set(zip(i[e <= leaks.EDITS].tolist(), j[e <= leaks.EDITS].tolist()))
-        near, hit = near + len(pairs), hit + len(pairs & set(zip(*(x.tolist() for x in index.candidates(code, starts)))))
-    assert near > 100 and hit / near >= 0.9
-    assert {(d, f"I{d}") for d, _ in docs} <= {x[:2] for x in leaks.search(index, docs)}
+    docs += [(1000, None), (1001, ""), (1002, "short text"), (None, docs[0][1]), docs[0]]
+    df, it = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("passage", F.lit("x")), spark.createDataFrame(items, "item_id string, passage string")
+    members = {(x["item_id"], x["member"]) for x in leaks.members_of(it).collect()}
+    assert members == {(f"I{i}" if i else least, f"I{i}") for least in [min("I0", "copy")] for i in range(30)} | {(min("I0", "copy"), "copy")}
+    results = []
+    for bound in (leaks.BROADCAST_WINDOWS, 0):
+        found = {(x["doc_id"], x["item_id"]): x for x in leaks.find_leaks(df, it, broadcast_windows=bound).collect()}
+        got = {(d, m) for (d, i), x in found.items() if x["run_words"] >= 12 for j, m in members if i == j}
+        assert got == want
+        assert all(x["edits"] > 0 and not x["run_words"] for k, x in found.items() if any(k in v for v in near.values()))
+        for kind, pairs in near.items():
+            assert len(pairs & set(found)) >= 0.9 * len(pairs), kind
+        assert found[next(k for k in want if k[1] == "I5")]["n_items"] == 1
+        results.append(found)
+    assert results[0] == results[1]
+    assert leaks.find_leaks(df, it.filter("false")).count() == 0 and leaks.find_leaks(df.filter("false"), it).count() == 0
+    assert leaks.members_of(it.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("kinds", ["s", "i", "d", "ss", "si", "sd", "ii", "id", "dd"])
+def test_windows_reach_the_recall(kinds):
+    """Pairs of windows with each kind of one or two edits at random places, none of them exact, share a signature."""
+    r = np.random.default_rng(12)
+    a = r.integers(1, 2**63, (4000, leaks.RUN), dtype=np.uint64)
+    b = np.empty((4000, leaks.RUN + leaks.EDITS), np.uint64)
+    for row, x in enumerate(a.tolist()):
+        for k in kinds:
+            at, new = int(r.integers(0, len(x))), int(r.integers(1, 2**63))
+            x[at : at + (k != "i")] = [] if k == "d" else [new]
+        b[row] = (x + r.integers(1, 2**63, 8, dtype=np.uint64).tolist())[: b.shape[1]]
+    assert (leaks.edit_distance(a, b) <= len(kinds)).all() and len(leaks.near_pairs(a, b)[0]) == len(a)
+    hit = np.zeros(len(a), bool)
+    for x, y in zip(leaks.signatures(a.ravel(), np.arange(len(a)) * a.shape[1]), leaks.signatures(b.ravel(), np.arange(len(b)) * b.shape[1])):
+        hit |= x == y
+    assert hit.mean() >= (0.99 if len(kinds) == 1 else 0.9)
+    # no such pair is held back by the runs of words that are looked up
+    for q in leaks.GRAMS:
+        grams = [leaks.grams(x, q) for x in (a.ravel(), b.ravel())]
+        known = np.zeros(1 << 20, np.uint8)
+        for p in leaks.Filter.places(grams[0], np.uint64(64 - 23)):
+            np.bitwise_or.at(known, (p >> np.uint64(3)).astype(int), (1 << (p & np.uint64(7)).astype(int)).astype(np.uint8))
+        have = np.r_[0, np.cumsum(leaks.Filter(known).has(grams[1]))]
+        starts = np.arange(len(b)) * b.shape[1]
+        assert (have[np.minimum(starts + b.shape[1] - q + 1, len(have) - 1)] - have[starts] >= leaks.RUN - q + 1 - q * leaks.EDITS).all()
 
 
 def test_edit_distance():
-    a = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 3, 4]])
-    b = np.array([[1, 2, 3, 4], [2, 3, 4, 5], [9, 8, 7, 6]])
-    assert leaks.edit_distance(a, b).tolist() == [0, 2, 4]
+    a = np.array([[1, 2, 3, 4]] * 4)
+    b = np.array([[1, 2, 3, 4, 7], [2, 3, 4, 5, 6], [9, 8, 7, 6, 5], [1, 9, 2, 3, 4]])
+    assert leaks.edit_distance(a, b).tolist() == [0, 1, 4, 1]
     assert leaks.words("Café <b>x_y</b> 12-A") == ["cafe", "x", "y", "12", "a"]
 
 
