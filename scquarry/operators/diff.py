@@ -163,6 +163,15 @@ def differing_keys(rows: DataFrame, version: str, sides: tuple[str, str]) -> Dat
     return out.distinct()
 
 
+def _order_key(order: Sequence[str], rows: DataFrame) -> Column:
+    """order as one value to be compared: a number where a time and a whole number are given, for which hash aggregation has room."""
+    kinds = [rows.schema[c].dataType.simpleString() for c in order]
+    if kinds == ["timestamp", "bigint"]:
+        at = F.coalesce(F.unix_micros(order[0]), F.lit(-(2**63))).cast("decimal(19,0)")
+        return (at * F.expr("10000000000000000000BD")).cast("decimal(38,0)") + F.coalesce(order[1], F.lit(-(2**63))).cast("decimal(19,0)")
+    return F.struct(*order)
+
+
 def diff_copies(
     rows: DataFrame,
     version: str,
@@ -172,26 +181,33 @@ def diff_copies(
     sides: tuple[str, str] = ("original", "skill"),
     tolerance: float = 1e-10,
     names: dict[str, str] | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """What two copies of a dataset disagree on: (keys, field_name), one row per differing field.
 
-    rows holds both copies, told apart by version (one of sides; other rows are ignored), with unique keys in each. field_name
-    is missing_<side> for a key that only the other copy has, else the name of a field in which the copies differ (names renames
-    fields; two fields of one name give one row). Numbers differ when more than tolerance apart; NaN equals NaN only; texts
-    differ after trimming, blank equals null, null differs from any value. Null keys equal one another. Copies that agree, and
-    empty tables, give no rows.
+    rows holds both copies, told apart by version (one of sides; other rows are ignored). With order, only the row of a key and
+    version that is greatest in it (nulls least; its last column tells all rows apart) counts; without it keys must be unique in
+    each copy. field_name is missing_<side> for a key that only the other copy has, else the name of a field in which the copies
+    differ (names renames fields; two fields of one name give one row). Numbers differ when more than tolerance apart; NaN equals
+    NaN only; texts differ after trimming, blank equals null, null differs from any value. Null keys equal one another. Copies that
+    agree, and empty tables, give no rows.
 
-    Rows that agree never leave their partition: tables of key and row hash are subtracted and peeled, and only the rows of the
-    keys so found are fetched and compared field by field, which also removes the keys that differ by noise only.
+    Of rows that agree only hashes are read, sent (where order must choose among them) and written: tables of key and row hash are
+    subtracted and peeled, and only the rows of the keys so found are fetched and compared field by field, which also removes the
+    keys that differ by noise only.
     """
     names = names or {}
     token = [t for c in numeric for t in _numeric_token(F.col(c), tolerance)] + [t for c in text for t in _text_token(F.col(c))]
     key_token = [t for k in keys for t in (F.col(k).isNull(), F.coalesce(F.col(k).cast("string"), F.lit("")))]
-    hashed = materialize(
-        rows.filter(F.col(version).isin(*sides)).select(version, *keys, *numeric, *text, F.xxhash64(*key_token).alias("_k"), F.xxhash64(F.lit("row"), *key_token, *token).alias("_h")),
-        "copies",
-    )
-    wanted = hashed.join(differing_keys(hashed.select(version, "_k", "_h"), version, sides), "_k", "left_semi")
+    own = rows.filter(F.col(version).isin(*sides))
+    hashed = own.select(version, *keys, *numeric, *text, *order, F.xxhash64(*key_token).alias("_k"))
+    short = own.select(version, F.xxhash64(*key_token).alias("_k"), F.xxhash64(F.lit("key"), *key_token).alias("_k2"), F.xxhash64(F.lit("row"), *key_token, *token).alias("_h"), *order)
+    if order:  # keys are told apart by 128 bits here
+        short = short.select(version, "_k", "_k2", "_h", _order_key(order, own).alias("_o")).groupBy(version, "_k", "_k2").agg(F.max_by("_h", "_o").alias("_h"))
+    short = materialize(short.select(version, "_k", "_h"), "hashes")
+    wanted = hashed.join(differing_keys(short, version, sides), "_k", "left_semi")
+    if order:
+        wanted = latest_rows(wanted, (version, "_k", *keys), order)
 
     def side(s: str, prefix: str) -> DataFrame:
         return wanted.filter(F.col(version) == s).select(F.col("_k").alias(f"{prefix}_k"), *[F.col(c).alias(prefix + c) for c in (*keys, *numeric, *text)])

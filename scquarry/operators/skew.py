@@ -36,14 +36,15 @@ def salted_aggregate(
 ) -> DataFrame:
     """Rows, distinct items and sums per key in evenly sized work.
 
-    Rows of a heavy key get a salt in 0..salts-1; partial results are made per (key, salt) and then merged by key. The salt is a
-    hash of the item, not a random number: it is as even as one, it keeps all rows of an item together (so that distinct items
-    add up over salts), and it is the same when a lost executor's work is run again.
+    Rows of a heavy key get a salt in 0..salts-1. Partial sums are made per (key, salt) and then merged by key, whatever items
+    the rows have: the salt is a hash of the row's values, as even as a random number, but the same when a lost executor's work
+    is run again. Rows that are alike in all values used share a salt; they are combined on the map side before anything is sent.
+    Items are counted by a salt of their own, a hash of the item, which keeps all rows of an item together: distinct items of a
+    key then add up over its salts, and repeated items are combined on the map side too.
 
     sums, mins and maxs map result names to SQL expressions of one row. Result: key, n_rows, n_items, n_salts and those names.
     A null key is a group of its own; null items count as rows but not as items; an empty table gives an empty result; columns
-    of df other than those named are ignored, so clashing names do no harm. A key spread over one item only can't be split,
-    but its rows are combined on the map side before they are sent.
+    of df other than those named are ignored, so clashing names do no harm.
     """
     sums, mins, maxs = sums or {}, mins or {}, maxs or {}
     spark = df.sparkSession
@@ -52,11 +53,14 @@ def salted_aggregate(
     base = df.select(F.col(key).alias("_key"), F.col(item).alias("_item"), *[e.alias(n) for n, (e, _) in given.items()])
     heavy, _ = heavy_keys(base, "_key", tasks)
     heavy = heavy.withColumnRenamed("_key", "_heavy")
-    salted = base.join(F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_heavy")), "left").withColumn(
-        "_salt", F.pmod(F.xxhash64("_item"), F.coalesce("_salts", F.lit(1))).cast("int")
+    known = base.join(F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_heavy")), "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    rows = known.withColumn("_salt", F.pmod(F.xxhash64("_item", *given), F.col("_salts")).cast("int"))
+    partial = rows.groupBy("_key", "_salt").agg(F.count(F.lit(1)).alias("_rows"), *[fn(n).alias(n) for n, (_, fn) in given.items()])
+    items = known.filter("_item IS NOT NULL").select("_key", "_item", F.pmod(F.xxhash64("_item"), F.col("_salts")).cast("int").alias("_salt"))
+    counted = items.groupBy("_key", "_salt", "_item").agg(F.lit(1).alias("_one")).groupBy("_key", "_salt").agg(F.count(F.lit(1)).alias("_items"))
+    return (
+        partial.unionByName(counted, allowMissingColumns=True)
+        .groupBy("_key")
+        .agg(F.sum("_rows").alias("n_rows"), F.coalesce(F.sum("_items"), F.lit(0)).alias("n_items"), F.count("_rows").cast("int").alias("n_salts"), *[fn(n).alias(n) for n, (_, fn) in given.items()])
+        .withColumnRenamed("_key", key)
     )
-    per_item = salted.groupBy("_key", "_salt", "_item").agg(F.count(F.lit(1)).alias("_rows"), *[fn(n).alias(n) for n, (_, fn) in given.items()])
-    partial = per_item.groupBy("_key", "_salt").agg(F.sum("_rows").alias("_rows"), F.count("_item").alias("_items"), *[fn(n).alias(n) for n, (_, fn) in given.items()])
-    return partial.groupBy("_key").agg(
-        F.sum("_rows").alias("n_rows"), F.sum("_items").alias("n_items"), F.count("_salt").cast("int").alias("n_salts"), *[fn(n).alias(n) for n, (_, fn) in given.items()]
-    ).withColumnRenamed("_key", key)

@@ -9,7 +9,7 @@ from scquarry.functions.text import blank_to_null, label, strip, text_number
 from scquarry.operators.diff import diff_copies, latest_rows, normal_version
 from scquarry.operators.packed import split_packed
 from scquarry.operators.skew import salted_aggregate
-from scquarry.session import table
+from scquarry.session import materialize, table
 
 NUMERIC_FIELDS = ("nfeature_rna", "ncount_rna", "pmt")
 TEXT_FIELDS = ("sample", "group_name", "df", "df_adj", "phase")
@@ -22,8 +22,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = table(spark, sf_dir, "cell_differences").select(
         normal_version(F.col("version")).alias("version"), "dataset", label(F.col("id")).alias("item_key"), "exported_at", "record_no", *NUMERIC_FIELDS, *TEXT_FIELDS
     )
-    cells = latest_rows(cells, ("version", "dataset", "item_key"), ("exported_at", "record_no"))
-    found = diff_copies(cells, "version", ("dataset", "item_key"), NUMERIC_FIELDS, TEXT_FIELDS)
+    found = diff_copies(cells, "version", ("dataset", "item_key"), NUMERIC_FIELDS, TEXT_FIELDS, order=("exported_at", "record_no"))
     metrics = table(spark, sf_dir, "object_comparison").select("dataset", F.col("metric").alias("item_key"), "compared_at", "record_no", "original", "skill")
     metrics = latest_rows(metrics, ("dataset", "item_key"), ("compared_at", "record_no"))
     values = metrics.select("dataset", "item_key", F.explode(F.create_map(F.lit("original"), F.col("original"), F.lit("skill"), F.col("skill"))).alias("version", "value"))
@@ -55,7 +54,7 @@ def p6_sample_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = p6_sample_results(spark, sf_dir)
+    results = materialize(p6_sample_results(spark, sf_dir), "samples")  # read twice: for the totals and for the samples
     totals = results.groupBy("source_table").agg(F.sum("n_rows").alias("total"))  # two rows
     return results.join(F.broadcast(totals), "source_table").filter((F.col("n_rows") > HEAVY_SHARE * F.col("total")) & F.col("sample").isNotNull()).select("source_table", "sample")
 

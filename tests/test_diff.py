@@ -86,3 +86,16 @@ def test_hashes_equal_spark(spark):
 def test_latest_rows(spark):
     df = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, "y"), ("a", None, 9, "z"), (None, 1, 1, "n")], "k string, at int, no int, v string")
     assert rows(latest_rows(df, ["k"], ["at", "no"]).select("k", "v")) == [("a", "y"), (None, "n")]
+
+
+def test_latest_of_repeated_rows_counts(spark):
+    at = ["2024-01-01", "2024-01-02", None]
+    r = random.Random(5)
+    data = [(v, f"K{i % 400}", float(r.randrange(3)), 0.0, r.choice(["a", "b", None]), r.choice(at), i) for i in range(3000) for v in (r.choice(["original", "skill", "other"]),)]
+    df = spark.createDataFrame(data, SCHEMA + ", at string, no bigint").withColumn("at", F.to_timestamp("at")).repartition(5)
+    last = {}
+    for row in sorted(data, key=lambda x: (x[5] or "", x[6])):
+        last[row[0], row[1]] = row[:5]
+    want = brute(last.values())
+    assert len(want) > 100 and rows(diff_copies(df, "version", ["k"], ["x", "y"], ["t"], order=("at", "no"))) == want
+    assert rows(diff_copies(df.withColumn("no", F.col("no").cast("int")), "version", ["k"], ["x", "y"], ["t"], order=("at", "no"))) == want
