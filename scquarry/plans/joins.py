@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scquarry import model
 from scquarry.operators import matrix
+from scquarry.operators.diff import latest_rows
 from scquarry.plans.common import rounded
 from scquarry.plans.qc import metrics
 from scquarry.session import table
@@ -65,9 +66,9 @@ def id_sets(s: SparkSession, d: str) -> DataFrame:
 
 
 def latest_cells(s: SparkSession, d: str) -> DataFrame:
-    """Repeated cells once, the row of the latest load (then of the greatest record number)."""
-    x = table(s, d, "cell_qc_all").select("cell_id", "record_no", "loaded_at", "sample", "ncount_rna", "retained")
-    return x.groupBy("cell_id").agg(F.max_by(F.struct("record_no", "sample", "ncount_rna", "retained"), F.struct("loaded_at", "record_no")).alias("r")).select("cell_id", "r.*")
+    """Repeated cells once, the row of the latest load (then of the greatest record number); NaN is no count."""
+    x = table(s, d, "cell_qc_all").select("cell_id", "record_no", "loaded_at", "sample", F.nanvl("ncount_rna", F.lit(None)).alias("ncount_rna"), "retained")
+    return latest_rows(x, ("cell_id",), ("loaded_at", "record_no")).select("cell_id", "record_no", "sample", "ncount_rna", "retained")
 
 
 QUERIES = {
@@ -133,7 +134,7 @@ UNION ALL SELECT 'clusters_only', count(*) FROM (SELECT id FROM b EXCEPT SELECT
     "barcode_suffixes": r"SELECT regexp_extract(cell, '-(\d+)$', 1) AS suffix, count(DISTINCT cell) AS cells, count(DISTINCT sample) AS samples FROM cluster_assignments GROUP BY 1",
     "inventory_merge": """SELECT coalesce(a.kind, b.kind) AS kind, coalesce(a.name, b.name) AS name, coalesce(before, 0) AS before, coalesce(after, 0) AS after FROM (SELECT p_type AS kind, p_brand AS name, count(*) AS before FROM part GROUP BY 1, 2) a
 FULL JOIN (SELECT p_type AS kind, p_brand AS name, count(*) AS after FROM part WHERE p_size > 40 GROUP BY 1, 2) b ON a.kind = b.kind AND a.name = b.name""",
-    "latest_cells": "SELECT cell_id, record_no, sample, ncount_rna, retained FROM cell_qc_all QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY loaded_at DESC NULLS LAST, record_no DESC) = 1",
+    "latest_cells": "SELECT cell_id, record_no, sample, CASE WHEN NOT isnan(ncount_rna) THEN ncount_rna END AS ncount_rna, retained FROM cell_qc_all QUALIFY row_number() OVER (PARTITION BY cell_id ORDER BY loaded_at DESC NULLS LAST, record_no DESC) = 1",
     "object_inventory": f"WITH {model.SQL_CELLS} SELECT count(*) AS cells, string_agg(DISTINCT sample, ';' ORDER BY sample) AS samples, string_agg(DISTINCT grp, ';' ORDER BY grp) AS groups FROM cells",
     "first_gene_matches": """SELECT upper(p_name) AS name, max(p_partkey) AS gene_id FROM part WHERE upper(p_name) IN ('RED WIDGET', 'BLUE BOLT', 'SMALL RING', 'NO SUCH PART') GROUP BY 1""",
     "sample_sizes": f"""WITH {_C}, {model.SQL_CELLS} SELECT sample, count(DISTINCT cells.cell_id) AS cells, count(DISTINCT counts.cell_id) AS cells_with_counts, count(DISTINCT gene_id) AS genes_detected

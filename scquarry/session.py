@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -57,10 +58,18 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder all executors share, from spark.checkpoint.dir.
+
+    Only a local session, whose executors are threads of the driver, gets a folder of its own where that is unset; it goes with
+    the process. On a cluster an unset folder is an error: executors would not see what the driver's machine has.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="scquarry-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="scquarry-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 

@@ -114,7 +114,7 @@ def read_text(spark: SparkSession, path: str | Path, delimiter: str = "comma", o
     """counts of a text matrix: rows become non-zero triplets one by one, never a dense matrix.
 
     feature_column names the column of row ids (default the first; __row_names__ too); drop_columns are left out. Values that
-    are no finite numbers, and negative ones, are an error.
+    are no finite numbers, negative ones and fractions (processed data) are an error, in whatever row they stand.
     """
     d = _DELIMITERS[delimiter]
     with _open(path) as f:
@@ -138,7 +138,7 @@ def read_text(spark: SparkSession, path: str | Path, delimiter: str = "comma", o
                     raise ValueError(f"a row has {len(r)} fields instead of {len(names)}")
                 for i in use:
                     if (v := float(r[i])) != 0:
-                        if not 0 < v < float("inf"):
+                        if not 0 < v < float("inf") or v != int(v):
                             raise ValueError(f"no count: {r[i]}")
                         rows.append(r[own])
                         columns.append(names[i])
@@ -150,15 +150,25 @@ def read_text(spark: SparkSession, path: str | Path, delimiter: str = "comma", o
 
 
 def read_binary(path: str | Path) -> None:
-    """HDF5 and R objects need libraries that are no part of this engine."""
+    """HDF5 (.h5, .h5ad) and R objects (.rds) can't be read: their libraries are no part of this engine. Always an error."""
     raise ImportError(f"{path}: reading this format needs h5py, anndata or R; convert it to a 10x trio, text or Parquet first")
 
 
-def combine(parts: Sequence[DataFrame]) -> DataFrame:
-    """Matrices of samples put side by side; a cell in two of them is an error, as are differing sets of genes."""
+def combine(parts: Sequence[DataFrame], gene_sets: Sequence[DataFrame] | None = None) -> DataFrame:
+    """Matrices of samples put side by side; a cell in two of them is an error, as are differing sets of genes.
+
+    A matrix here holds its non-zero counts, so a gene without any count in a sample would look absent: with gene tables that keep
+    such genes pass gene_sets, one per matrix.
+    """
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    sets = gene_sets or parts
+    genes = sets[0].select("gene_id").distinct()
+    for p in sets[1:]:
+        genes = genes.union(p.select("gene_id").distinct())
+    if not genes.groupBy("gene_id").count().filter(F.col("count") < len(parts)).isEmpty():
+        raise ValueError("the matrices differ in their genes; reconcile them first")
     seen = None
     for i, p in enumerate(parts):
         c = p.select("cell_id").distinct().withColumn("_p", F.lit(i))

@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import json
 import tarfile
 
 import pytest
@@ -62,6 +63,11 @@ def test_combine(spark):
     assert matrices.combine([m("a"), m("b")]).count() == 2
     with pytest.raises(ValueError):
         matrices.combine([m("a"), m("a")])
+    other = m("b").withColumn("gene_id", F.lit("g2"))
+    with pytest.raises(ValueError, match="genes"):
+        matrices.combine([m("a"), other])
+    both = spark.createDataFrame([("g1",), ("g2",)], "gene_id string")
+    assert matrices.combine([m("a"), other], [both, both]).count() == 2
     genes = spark.createDataFrame([("g1",)], "gene_id string")
     assert rows(matrices.empty_droplets({"L": m("a")}, genes)) == [("L", "L::background::a", "g1", 1.0)]
     with pytest.raises(ImportError):
@@ -155,3 +161,30 @@ def test_streams(spark, tmp_path):
     totals.run_once(totals.running_totals(totals.read_counts(spark, str(tmp_path / "in"), 1)), "run", str(tmp_path / "cp"))
     batch = cell_totals(df, df.select("cell_id").distinct())
     assert rows(spark.table("run")) == rows(batch)
+
+
+def test_text_matrix_of_fractions_is_no_count_matrix(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("id,c1,c2\n" + "".join(f"g{i},1,2\n" for i in range(80)) + "g80,1.5,0\n")
+    with pytest.raises(Exception, match="no count: 1.5"):
+        matrices.read_text(spark, tmp_path / "m.csv").collect()
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from scquarry.session import shared_dir
+
+    unset = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    fake = lambda master: SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master, getConf=lambda: unset))
+    assert shared_dir(fake("local[4]")).startswith("file://") and shared_dir(fake("local"))
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,4,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(fake(master))
+
+
+def test_atomic_json(tmp_path):
+    bundles.atomic_json(tmp_path / "a" / "x.json", {"k": "ü"})
+    assert json.loads((tmp_path / "a" / "x.json").read_text(encoding="utf-8")) == {"k": "ü"}
+    with pytest.raises(TypeError):
+        bundles.atomic_json(tmp_path / "a" / "x.json", {"k": object()})
+    assert [p.name for p in (tmp_path / "a").iterdir()] == ["x.json"] and json.loads((tmp_path / "a" / "x.json").read_text())
