@@ -3,7 +3,7 @@ from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from scquarry.operators.packed import cheapest, dialects, parse, split_packed, unwrap
+from scquarry.operators.packed import Code, cheapest, dialects, parse, split_packed, unwrap
 
 VALUES = ["nCount_min", "pMT_max 12", "user's limit", 'at "raw" stage', "a, b; c", "R&D", "(1.2, dev)", "0,14", "5'_set"]
 
@@ -21,12 +21,38 @@ def test_grammar():
     assert words("a\tb\nc") == ["a", "b", "c"]
 
 
-def test_rare_delimiter_inside_a_value_stays():
-    book = {"HLX1": 3.0, "KLD4": 3.0}
-    assert cheapest("HLX1;C/EBP-alpha-long-form;KLD4", book | {"C/EBP-alpha-long-form": 4.0}) == ["HLX1", "C/EBP-alpha-long-form", "KLD4"]
+def test_costs_decide():
+    code = Code(values=1000, separators=600, inside=0, quoted=100, bare=0)
+    counts = {"HLX1": 200, "KLD4": 100}
+    split, whole = ("/;", ""), (";", "")
+    assert cheapest("HLX1;C/EBP long;KLD4", code, counts | {"C/EBP long": 60}) == whole
+    assert cheapest("HLX1;C/EBP long;KLD4", code, counts) == split  # a new value
+    assert cheapest("HLX1;C/EBP long;KLD4", code, counts | {"C/EBP long": 60, "C": 90, "EBP long": 80}) == split  # its parts are known better
+    much = Code(values=1000, separators=600, inside=300, quoted=100, bare=0)
+    assert cheapest("HLX1;C/EBP long;KLD4", much, counts | {"C/EBP long": 60, "C": 90, "EBP long": 80}) == whole  # plain values hold delimiters often
     assert len(dialects("a;b,c")) == 4
 
 
+def test_values_known_from_quotations_stay_whole_where_they_are_plain(spark):
+    """The choice differs from splitting at every delimiter where the counts say so, and only there."""
+    names = [f"gene{i}" for i in range(30)]
+    data = [("m", f'"CD4, naive";{names[i % 30]};{names[i // 30 * 7 % 30]}') for i in range(300)]
+    data += [("m", f"{names[i]}, {names[i + 1]} ; {names[i + 2]}") for i in range(25)]
+    data += [("m", f'"{names[i]}, {names[i + 1]}" ; {names[i + 2]}') for i in range(3)]  # parts that are values of their own
+    odd = [("m", f"CD4, naive;{n}") for n in names] + [("other", "CD4, naive;gene1")]
+    quotes = [("q", f"'{y}s, '{y + 10}s") for y in range(60, 80)] + [("q", f"'{y}s") for y in range(60, 90)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data + odd + quotes)], "n int, kind string, f string")
+    got = {}
+    for n, _, item in sorted(map(tuple, split_packed(df, "kind", "f").select("n", "item_pos", "item").collect())):
+        got.setdefault(n, []).append(item)
+    first = len(data)
+    assert [got[first + i] for i in range(30)] == [["CD4, naive", n] for n in names]
+    assert got[first + 30] == ["CD4", "naive", "gene1"]
+    assert [got[300 + i] for i in range(25)] == [[names[i], names[i + 1], names[i + 2]] for i in range(25)]
+    assert [got[325 + i][0] for i in range(3)] == [f"{names[i]}, {names[i + 1]}" for i in range(3)]
+    assert [got[first + 31 + i] for i in range(20)] == [[f"'{y}s", f"'{y + 10}s"] for y in range(60, 80)]
+
+
 def test_lists_of_rare_values_split_at_any_size(spark):
     """Each list occurs in two raw forms: as a whole it has the count of its values, and a code that grows with the table."""
     for n in (100, 4_000):
