@@ -28,7 +28,14 @@ def _sampled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sampled(spark, sf_dir)[1].select("target_set", F.col("spelt").alias("category"), "required", "available", "drawn", "met")
+    """Per target set and category what was required and available; total is the number of items drawn for the set."""
+    return _sampled(spark, sf_dir)[1].select("target_set", F.col("spelt").alias("category"), "required", "available", "met", "sample_size", "total")
+
+
+def p2_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per target set and category the items drawn, and whether they are the target, rounded up or down, or what floors and stock make of it."""
+    report = _sampled(spark, sf_dir)[1]
+    return report.select("target_set", F.col("spelt").alias("category"), "drawn", "total")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +115,7 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p2_report": p2_report,
+    "p2_drawn": p2_drawn,
     "p2_found": p2_found,
     "p4_cutoffs": p4_cutoffs,
     "p4_found": p4_found,
@@ -143,6 +151,9 @@ c AS (SELECT sample, keep_percent, n, min(pann) AS cutoff, min(m) AS n_kept FROM
 
 SQL = {
     "p2_found": _P2 + "SELECT target_set, category FROM r WHERE available < required",
+    "p2_report": _P2
+    + """SELECT r.target_set, r.category, required, available, available >= required AS met, sample_size, total FROM r JOIN sampling_targets t ON t.target_set = r.target_set AND t.category = r.category
+JOIN (SELECT target_set, least(max(sample_size), sum(least(available, CASE WHEN permille > 0 THEN available ELSE 0 END)))::BIGINT AS total FROM (SELECT r.*, target_permille AS permille, sample_size FROM r JOIN sampling_targets USING (target_set, category)) GROUP BY 1) s ON s.target_set = r.target_set""",
     "p4_cutoffs": _P4 + "SELECT * FROM c",
     "p4_found": _P4 + "SELECT s.sample, s.cell_id FROM s JOIN c USING (sample) WHERE s.pann > c.cutoff",
 }

@@ -30,12 +30,14 @@ def test_query_equals_sql(spark, con, name):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
-def test_sample_report(spark, con):
-    got = {(r["target_set"], r["category"]): r for r in queries.p2_report(spark, DIR).collect()}
-    for s, c, required, available in con.sql(queries._P2 + "SELECT * FROM r").fetchall():
-        g = got[s, c]
-        assert (g["required"], g["available"]) == (required, available)
-        assert g["drawn"] >= min(required, available) and g["met"] == (available >= required)
+def test_sample_shares(spark, con):
+    got = {(r["target_set"], r["category"]): r["drawn"] for r in queries.p2_drawn(spark, DIR).collect()}
+    rows = con.sql(queries._P2 + "SELECT r.*, min_rows, target_permille * sample_size / 1000.0, sample_size FROM r JOIN sampling_targets USING (target_set, category)").fetchall()
+    assert len(got) == len(rows)
+    for t in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == t]
+        assert sum(got[t, r[1]] for r in mine) == min(mine[0][6], sum(r[3] for r in mine))
+        assert all(got[t, c] >= min(floor, available) for _, c, _, available, floor, _, _ in mine)
 
 
 def test_percentiles_within_their_bound(spark, con):
