@@ -16,14 +16,14 @@ BRACKET_ROWS, ROUNDS = 1_000_000, 8
 def cutoffs(records: DataFrame, targets: DataFrame, source: str = "source", score: str = "score", bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """Per source the least score such that at least keep_percent of its records score at most as high.
 
-    records has source and score (null sources and null, NaN or negative scores don't count); targets has source and
+    records has source and score (null sources and null or NaN scores don't count); targets has source and
     keep_percent, at most one row a source; sources without a target are left out, as are sources without records. Result:
     source, keep_percent, n, cutoff, n_kept. Equal scores fall on one side together, so more than the target may be kept.
 
     A rank-interval summary per source gives two scores between which the cutoff must lie. Records below the bracket are only
     counted, those in it are counted by score and sorted. Brackets that hold too many records are narrowed first.
     """
-    rows = records.select(F.col(source).alias("source"), F.col(score).cast("double").alias("score")).filter("source IS NOT NULL AND score IS NOT NULL AND NOT isnan(score) AND score >= 0")
+    rows = records.select(F.col(source).alias("source"), F.col(score).cast("double").alias("score")).filter("source IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
     aims = targets.select(F.col("source").alias("source"), "keep_percent")
     # state: a source's number of records, the rank wanted, and the bracket [low, high] that is known to hold the cutoff
     bracket = None

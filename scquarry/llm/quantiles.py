@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -12,12 +13,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scquarry.session import materialize
+
 #: Tuples that a task holds before it compresses them.
 BUFFER = 1 << 18
 #: A summary's tuples beyond which it is compressed: each compression adds at most 1 / TUPLES of the group's rows to the
 #: width of its rank intervals, half of that to the error of a percentile.
 TUPLES = 2000
-#: Hot groups are merged in this many parts first.
+#: Summaries of a group that are merged at once, about: with more of them, they are merged in a tree, whose height is the logarithm
+#: of their number to this base. Each level adds no more than 1 / TUPLES of the rows to the width of the rank intervals.
 FAN = 32
 
 _SUMMARY = "value double, g bigint, d bigint, sid bigint"
@@ -93,27 +97,29 @@ def _partial(tuples: int, whole: bool):
         t = pa.Table.from_batches(held).combine_chunks()
         k = t.column("k").combine_chunks()
         gid, names = _codes(k.chunk(0) if isinstance(k, pa.ChunkedArray) else k)
-        value, g, d, sid = (t.column(c).to_numpy() for c in ("value", "g", "d", "sid"))
-        open_group = gid[-1]
+        closed = len(gid)
+        if whole and more:
+            closed = int(np.argmax(gid == gid[-1]))  # the last group may go on; it waits, unless it fills the buffer by itself
+            if len(gid) - closed >= BUFFER:
+                closed = len(gid)
+        rest = [b for b in t.slice(closed).to_batches() if b.num_rows]
+        gid, value, g, d, sid = gid[:closed], *(t.column(c).to_numpy()[:closed] for c in ("value", "g", "d", "sid"))
         # Rows of plain values (sid 0) are exact: all of them are one summary.
         gid, value, g, d = compress(*merge(gid, sid, value, g, d), tuples)
         name = int.from_bytes(hashlib.blake2b(f"{call} {TaskContext.get().partitionId()} {number}".encode(), digest_size=7).digest(), "big") << 6
-        if not (whole and more):
-            return _emit(names, gid, value, g, d, name), []
-        rest = gid == open_group
-        return _emit(names, gid[~rest], value[~rest], g[~rest], d[~rest], name), [_emit(names, gid[rest], value[rest], g[rest], d[rest], name)]
+        return _emit(names, gid, value, g, d, name), rest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        fresh = number = 0
+        size = number = 0
         for b in batches:
             if not b.num_rows:
                 continue
             held.append(b)
-            fresh += b.num_rows
-            if fresh >= BUFFER:
+            size += b.num_rows
+            if size >= BUFFER:
                 out, held = flush(held, True, number)
-                fresh, number = 0, number + 1
+                size, number = sum(x.num_rows for x in held), number + 1
                 yield out
         if held:
             yield flush(held, False, number)[0]
@@ -132,20 +138,30 @@ def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _reduce(parts: DataFrame, tuples: int) -> DataFrame:
-    """One summary per k from partial summaries, in two steps: FAN parts of each group, then their merger."""
+    """One summary per k from partial summaries, merged in a tree: about FAN at once, as often as their number asks for.
+
+    A group with a third of all rows is thus merged in as many tasks as it has FAN summaries, and its error grows with the height of
+    the tree only.
+    """
     schema = f"k string, {_SUMMARY}"
-    few = parts.repartition(F.col("k"), F.pmod(F.xxhash64("sid"), F.lit(FAN))).sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
-    return few.repartition(F.col("k")).sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
+    parts = materialize(parts, "summaries")
+    most = parts.select("k", "sid").distinct().groupBy("k").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("m")).first()["m"]
+    while most > FAN:
+        most = math.ceil(most / FAN)
+        part = F.concat("k", F.lit("\x1e"), F.pmod(F.xxhash64("sid"), F.lit(most)).cast("string"))
+        merged = parts.withColumn("k", part).repartition("k").sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
+        parts = materialize(merged.withColumn("k", F.regexp_replace("k", "\x1e[0-9]+$", "")), "summaries")
+    return parts.repartition(F.col("k")).sortWithinPartitions("k", "value", "sid", "g", "d").mapInArrow(_partial(tuples, True), schema)
 
 
 def summarize(df: DataFrame, keys: Sequence[str], value: str, tuples: int = TUPLES) -> DataFrame:
     """Summaries (keys as text, and the columns of TUPLE) of the numbers in a column, one per combination of keys.
 
-    Null, NaN and negative numbers are no measurements; groups without measurements have no summary. Every task summarizes its
-    own rows before anything is sent, so that a hot group costs no more than any other.
+    Null and NaN are no measurements; infinite numbers are the least and the greatest; groups without measurements have no summary.
+    Every task summarizes its own rows before anything is sent, so that a hot group costs no more than any other.
     """
     v = F.col(value).cast("double")
-    rows = df.filter(v.isNotNull() & ~F.isnan(v) & (v >= 0)).select(_key(keys).alias("k"), v.alias("value"), F.lit(1).cast("bigint").alias("g"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("sid"))
+    rows = df.filter(v.isNotNull() & ~F.isnan(v)).select(_key(keys).alias("k"), v.alias("value"), F.lit(1).cast("bigint").alias("g"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("sid"))
     return _keys(_reduce(rows.mapInArrow(_partial(tuples, False), f"k string, {_SUMMARY}"), tuples), keys)
 
 

@@ -68,7 +68,7 @@ def p5_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles of both counts per sample and over all (sample null), combined from summaries of single days and samples."""
     cells = table(spark, sf_dir, "cell_qc_all")
     both = F.explode(F.create_map(F.lit("ncount_rna"), F.col("ncount_rna"), F.lit("nfeature_rna"), F.col("nfeature_rna"))).alias("metric", "value")
-    rows = cells.select(label(F.col("sample")).alias("sample"), F.to_date("qc_time").alias("day"), both)
+    rows = cells.select(label(F.col("sample")).alias("sample"), F.to_date("qc_time").alias("day"), both).filter("value >= 0")  # negative counts are no measurements
     days = materialize(quantiles.summarize(rows, ["metric", "sample", "day"], "value"), "days")
     samples = materialize(quantiles.combine(days, ["metric", "sample"]), "samples")
     overall = quantiles.combine(samples, ["metric"])
