@@ -141,14 +141,32 @@ def test_hilbert_is_a_walk_through_all_cells():
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
 
 
-def test_fill_is_tight():
+def test_fill_is_tight_and_near():
     r = random.Random(2)
-    sizes = [r.randrange(1, 1025) for _ in range(3000)]
-    used = collections.Counter()
-    for s, c in zip(sizes, packing.fill(sizes, 1024)):
-        used[c] += s
-    assert max(used.values()) <= 1024 and len(used) <= 1.02 * sum(sizes) / 1024 + 2
-    assert packing.fill([], 10) == [] and packing.fill([10, 10], 10) == [0, 1]
+    sizes = [(i, r.choice([r.randrange(1, 1025), r.randrange(1, 300)])) for i in range(3000)]
+    got = list(packing.fill(sizes, 1024))
+    assert sorted(x for c in got for x in c) == sizes
+    assert max(sum(n for _, n in c) for c in got) <= 1024 and len(got) <= 1.02 * sum(n for _, n in sizes) / 1024 + 2
+    spread = [max(i for i, _ in c) - min(i for i, _ in c) for c in got]
+    assert np.mean(spread) < 2 * packing.LOOK  # mates are neighbours: random ones were 1000 apart
+    assert list(packing.fill([], 10)) == [] and list(packing.fill([(1, 10), (2, 10)], 10)) == [[(1, 10)], [(2, 10)]]
+    assert packing.best_subset([7, 5, 4, 3], 9) == [1, 2] and packing.best_subset([5], 4) == [] and packing.best_subset([], 4) == []
+
+
+def test_mates_are_alike(spark):
+    """Documents of several subjects, shuffled: those in a container are nearer to one another than any two documents."""
+    r = random.Random(3)
+    kinds = [[f"k{s}w{i}" for i in range(40)] for s in range(30)]
+    docs = [(d, " ".join(r.choice(kinds[d % 30]) for _ in range(r.randrange(30, 300)))) for d in range(3000)]
+    got = packing.pack(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    vector = {d: packing.project(packing.plain_tokens(t), {}) for d, t in docs}
+    mates = collections.defaultdict(list)
+    for x in got:
+        mates[x["container_id"]].append(vector[x["doc_id"]])
+    far = [np.linalg.norm(a - b) for c in mates.values() for i, a in enumerate(c) for b in c[:i]]
+    other = [np.linalg.norm(vector[r.randrange(3000)] - vector[r.randrange(3000)]) for _ in range(3000)]
+    assert np.mean(far) < 0.5 * np.mean(other)
+    assert sum(x["tokens"] for x in got) > 0.99 * 1024 * len(mates)
 
 
 def test_pack_edges(spark):
