@@ -8,15 +8,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scquarry.session import materialize
 
-#: Labelled documents that seed the subjects at most, taken by a hash of their id (all other statistics cover all documents).
+#: Labelled documents that seed the subjects, about so many at most, the same number of each subject where there are more, taken by a
+#: hash of their id (all other statistics cover all documents).
 MAX_LABELLED = 20_000
-#: A term counts if at least this many documents and this share of all have it; the most frequent ones if there are more.
-MIN_DOCUMENTS, MIN_SHARE, VOCABULARY = 3, 1e-4, 50_000
+#: Terms are hashed to so many places, whatever their number: none is left out for being rare among many, and a task's or the
+#: driver's tables never have more rows. Terms that share a place count as one. A place counts if so many documents have it.
+PLACES, MIN_DOCUMENTS = 1 << 17, 3
 #: Terms that tell less than this about subjects (0: nothing, 1: all) get no weight.
 LEAST_TOPICALITY = 0.1
 #: Dimensions kept and extra ones computed, subspace iterations, rounds of weighting and embedding, refinements in each.
@@ -28,8 +31,9 @@ CONFIDENT = 0.6
 LEAST_COSINE, LEAST_LENGTH = 0.12, 0.06
 #: A document deals with a subject of at least so many sentences and such a share of its sentences on any, with three at most.
 SENTENCES, SENTENCE_SHARE, MOST = 2, 0.15, 3
-#: Seeds are kept apart by a document's language where a subject has this many labelled documents in it and this share of all.
-LEAST_SEEDS, SEED_SHARE = 2, 0.001
+#: Seeds are kept apart by a document's language where a subject has this many labelled documents in it and this share of its own; a
+#: subject without such a language has one centroid of all its seeds.
+LEAST_SEEDS, SEED_SHARE = 2, 0.02
 
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
@@ -42,36 +46,27 @@ def sentences(text: str) -> list[list[str]]:
     return [_TERM.findall(s) for s in _SENTENCE.split((_TAG.sub(" ", text) if "<" in text else text).lower())]
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of the terms of each sentence (-1 ends it), and the distinct ones of the text with their frequencies."""
+    memo: dict[str, int] = {}
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(list(held.keys()), pa.string()), pa.array(list(held.values()), pa.int64())], ["term", "n"])
-        held.clear()
-        return out
+    def place(w: str) -> int:
+        if (x := memo.get(w)) is None:
+            x = xxhash.xxh64_intdigest(w) % PLACES
+            if len(memo) < 300_000:
+                memo[w] = x
+        return x
 
     for b in batches:
-        for s in b.column(0):
-            held.update({w for st in sentences(s.as_py()) for w in st})
-            if len(held) > 200_000:
-                yield flush()
-    yield flush()
-
-
-def _encode(terms: dict[str, int]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            packed, distinct, times = [], [], []
-            for s in b.column("text"):
-                codes = np.array([x for st in sentences(s.as_py()) for x in [*(terms[w] for w in st if w in terms), -1]], np.int32)
-                packed.append(codes.tobytes())
-                t, n = np.unique(codes[codes >= 0], return_counts=True)
-                distinct.append(t.tobytes())
-                times.append(n.astype(np.float32).tobytes())
-            binary = [pa.array(x, pa.binary()) for x in (packed, distinct, times)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), *binary], ["doc_id", "lang", "codes", "terms", "times"])
-
-    return run
+        packed, distinct, times = [], [], []
+        for s in b.column("text"):
+            codes = np.array([x for st in sentences(s.as_py()) for x in [*map(place, st), -1]], np.int32)
+            packed.append(codes.tobytes())
+            t, n = np.unique(codes[codes >= 0], return_counts=True)
+            distinct.append(t.astype(np.int32).tobytes())
+            times.append(n.astype(np.float32).tobytes())
+        binary = [pa.array(x, pa.binary()) for x in (packed, distinct, times)]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), *binary], ["doc_id", "lang", "codes", "terms", "times"])
 
 
 def _sum_vectors(parts: DataFrame) -> dict[int, np.ndarray]:
@@ -104,14 +99,23 @@ def entries(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(b.num_rows), lengths), code, _flat(b.column("times"), np.float32)[0]
 
 
+class Weights:
+    """The weight of every place, and the number (in order) of those with any."""
+
+    def __init__(self, weight: np.ndarray) -> None:
+        self.weight, self.used = weight, np.flatnonzero(weight > 0)
+        self.number = np.full(len(weight), -1)
+        self.number[self.used] = np.arange(len(self.used))
+
+
 class Sparse:
-    """Weighted term vectors of unit length of some documents, as triplets sorted by row."""
+    """Weighted term vectors of unit length of some documents, as triplets sorted by row; columns are the places with a weight."""
 
-    def __init__(self, b: pa.RecordBatch, weight: np.ndarray) -> None:
+    def __init__(self, b: pa.RecordBatch, weights: Weights) -> None:
         row, code, n = entries(b)
-        use = weight[code] > 0
-        self.rows, self.row, self.col = b.num_rows, row[use], code[use]
-        value = (1 + np.log(n[use])) * weight[self.col]
+        use = weights.number[code] >= 0
+        self.rows, self.row, self.col = b.num_rows, row[use], weights.number[code[use]]
+        value = (1 + np.log(n[use])) * weights.weight[code[use]]
         norm = np.sqrt(np.bincount(self.row, value**2, self.rows))
         self.value = value / norm[self.row]
 
@@ -138,7 +142,8 @@ class _Pass:
     """Sums over all documents, made where they lie: each(batch) gives (keys, vectors) to be added up."""
 
     def __init__(self, docs: DataFrame, rows: int = 500) -> None:
-        self.docs, self.rows = docs, rows
+        # a task sends one vector per term that it saw: few large tasks send less than many small ones
+        self.docs, self.rows = docs.coalesce(max(1, 2 * docs.sparkSession.sparkContext.defaultParallelism)), rows
 
     def sums(self, each: Callable) -> dict[int, np.ndarray]:
         rows = self.rows
@@ -155,6 +160,18 @@ class _Pass:
         return _sum_vectors(self.docs.mapInArrow(run, "key int, vector binary"))
 
 
+def document_frequency(docs: _Pass) -> tuple[int, np.ndarray]:
+    """The number of documents and, by place, of those that have it."""
+    step = PLACES // 32
+
+    def each(b):
+        n = np.bincount(entries(b)[1], minlength=PLACES).astype(float)
+        return [*range(32), 32], [*n.reshape(32, step), np.array([float(b.num_rows)])]
+
+    s = docs.sums(each)
+    return int(s[32][0]) if 32 in s else 0, np.concatenate([s[i] for i in range(32)]) if 32 in s else np.zeros(PLACES)
+
+
 def topicality(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     """How much each term tells about the subject: one less the entropy of its subject, scaled down for rare terms.
 
@@ -169,8 +186,9 @@ def topicality(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
     return np.where(out < LEAST_TOPICALITY, 0.0, out)
 
 
-def truncated_svd(docs: _Pass, weight_shared, size: int, start: np.ndarray | None, spark) -> np.ndarray:
-    """The leading right singular vectors (terms x DIMS) of the documents' weighted term vectors, by subspace iteration."""
+def truncated_svd(docs: _Pass, shared_weights, start: np.ndarray | None, spark) -> np.ndarray:
+    """The leading right singular vectors (weighted places x DIMS) of the documents' weighted term vectors, by subspace iteration."""
+    size = len(shared_weights.value.used)
     width = min(DIMS + EXTRA, size)
     q = np.random.default_rng(5).standard_normal((size, width))
     q = np.linalg.qr(q if start is None else np.hstack([start, q])[:, :width])[0]
@@ -178,7 +196,7 @@ def truncated_svd(docs: _Pass, weight_shared, size: int, start: np.ndarray | Non
         shared = spark.sparkContext.broadcast(q)
 
         def each(b, shared=shared):
-            x = Sparse(b, weight_shared.value)
+            x = Sparse(b, shared_weights.value)
             return x.transposed_times(x.times(shared.value)) if len(x.row) else ((), ())
 
         z = np.zeros((size, width))
@@ -201,31 +219,34 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
     sentences have next to no weight. A document deals with subjects of SENTENCES sentences or more that make up SENTENCE_SHARE
     of its sentences on any subject.
 
-    Null, blank and general texts have no subject; copies have equal subjects; repeated rows give repeated results; null labels
+    Terms are hashed to PLACES places, so that each text is read once and no term is dropped. Null, blank and general texts have no subject; copies have equal subjects; repeated rows give repeated results; null labels
     and labels of unknown subjects or documents are ignored; without labels there are no subjects.
     """
     spark = documents.sparkSession
     schema = "doc_id bigint, subject string"
     used = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.lower(F.trim(F.col(lang))), F.lit("")).alias("lang"), F.col(text).alias("text")).filter("text IS NOT NULL AND doc_id IS NOT NULL")
-    total = used.count()
-    terms = used.select("text").mapInArrow(_count_terms, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    kept = terms.filter(F.col("n") >= max(MIN_DOCUMENTS, MIN_SHARE * total)).orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()
-    if not kept:
+    encoded = materialize(used.mapInArrow(_encode, "doc_id bigint, lang string, codes binary, terms binary, times binary"), "encoded")
+    all_docs = _Pass(encoded.select("terms", "times"))
+    total, frequency = document_frequency(all_docs)
+    if not (frequency >= MIN_DOCUMENTS).any():
         return spark.createDataFrame([], schema)
-    codes = {r["term"]: i for i, r in enumerate(kept)}
-    rarity = np.array([np.log(1 + total / r["n"]) for r in kept])
-    frequency = np.array([r["n"] for r in kept], float)
-    encoded = materialize(used.mapInArrow(_encode(codes), "doc_id bigint, lang string, codes binary, terms binary, times binary"), "encoded")
+    rarity = np.where(frequency >= MIN_DOCUMENTS, np.log(1 + total / np.maximum(frequency, 1)), 0.0)
     number = F.create_map(*[x for i, s in enumerate(subjects) for x in (F.lit(s), F.lit(i))])
     single = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), number[F.col("subject")].alias("s")).filter("s IS NOT NULL").groupBy("doc_id").agg(F.min("s").alias("s"), F.max("s").alias("_m")).filter("s = _m").drop("_m")
-    single = single.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    seeds = materialize(encoded.drop("codes").join(single, "doc_id"), "seeds")
-    by_lang = seeds.groupBy("s", "lang").count().filter(F.col("count") >= max(LEAST_SEEDS, SEED_SHARE * seeds.count())).collect()  # at most MAX_LABELLED / LEAST_SEEDS rows
+    had = single.groupBy("s").agg(F.least(F.lit(1.0), F.lit(MAX_LABELLED / len(subjects)) / F.count(F.lit(1))).alias("_take"))  # one row per subject
+    single = single.join(F.broadcast(had), "s").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("_take") * 1_000_000).drop("_take")
+    seeds = materialize(encoded.drop("codes").join(single, "doc_id").select("s", "lang", "terms", "times"), "seeds")
+    by_lang = {(r["s"], r["lang"]): r["count"] for r in seeds.groupBy("s", "lang").count().collect()}  # about MAX_LABELLED rows at most
     if not by_lang:
         return spark.createDataFrame([], schema)
-    group = {(r["s"], r["lang"]): i for i, r in enumerate(sorted(by_lang, key=lambda r: (r["s"], r["lang"])))}
-    subject_of = np.array([s for s, _ in group])
-    size, k = len(kept), len(subjects)
+    own = Counter()
+    for (x, _), n in by_lang.items():
+        own[x] += n
+    apart = sorted(x for x, n in by_lang.items() if n >= max(LEAST_SEEDS, SEED_SHARE * own[x[0]]))
+    alone = sorted(set(own) - {x for x, _ in apart})
+    group = {x: i for i, x in enumerate(apart)} | {x: len(apart) + alone.index(x[0]) for x in by_lang if x[0] in alone}
+    subject_of = np.array([x for x, _ in apart] + alone)
+    groups, size, k = len(subject_of), PLACES, len(subjects)
 
     def counts_of(rows: _Pass, subject: Callable) -> tuple[np.ndarray, np.ndarray]:
         """Documents by term and subject and by subject, of the documents to which subject(batch) gives one (else -1)."""
@@ -248,16 +269,21 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
                 c[key] = v
         return c, d
 
-    all_docs, seed_docs = _Pass(encoded.select("terms", "times")), _Pass(seeds)
+    seed_docs = _Pass(seeds)
     counts, have = counts_of(seed_docs, lambda b: np.array(b.column("s").to_pylist(), int))
     start = None
     for _ in range(ROUNDS):
-        weight = rarity * topicality(counts, have)
-        if not weight.any():
+        weights = Weights(rarity * topicality(counts, have))
+        if not len(weights.used):
             return spark.createDataFrame([], schema)
-        shared = spark.sparkContext.broadcast(weight)
-        basis = truncated_svd(all_docs, shared, size, start, spark)
-        start = basis
+        shared = spark.sparkContext.broadcast(weights)
+        if start is not None:  # the places that had a weight before and have one now
+            old, basis = start
+            start = np.zeros((len(weights.used), basis.shape[1]))
+            both = old.number[weights.used] >= 0
+            start[both] = basis[old.number[weights.used[both]]]
+        basis = truncated_svd(all_docs, shared, start, spark)
+        start = weights, basis
         base = spark.sparkContext.broadcast(basis)
 
         def seed_sums(b, near=None, shared=shared, base=base):
@@ -274,7 +300,7 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
                 new[j] = v
             return _unit(new)
 
-        centroids = placed(seed_docs.sums(seed_sums), np.zeros((len(group), basis.shape[1])))
+        centroids = placed(seed_docs.sums(seed_sums), np.zeros((groups, basis.shape[1])))
         centroids = placed(seed_docs.sums(lambda b, c=centroids, f=seed_sums: f(b, c)), centroids)  # without the labels that look wrong
 
         def nearest(b, c, shared=shared, base=base):
@@ -290,14 +316,15 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
 
             centroids = placed(all_docs.sums(moved), centroids)
         counts, have = counts_of(all_docs, lambda b, c=centroids, f=nearest: np.r_[subject_of, -1][f(b, c)[1]])
-    typical = (frequency * weight**2).sum() / (frequency * weight).sum()
-    vectors = spark.sparkContext.broadcast((basis * weight[:, None]).astype(np.float32))
+    f, w = frequency[weights.used], weights.weight[weights.used]
+    typical = (f * w**2).sum() / (f * w).sum()
+    vectors = spark.sparkContext.broadcast((weights.number, (basis * w[:, None]).astype(np.float32)))
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for at in range(0, big.num_rows, 500):
                 b = big.slice(at, 500)
-                n = sentence_counts(b, vectors.value, centroids, subject_of, k, LEAST_LENGTH * typical)
+                n = sentence_counts(b, *vectors.value, centroids, subject_of, k, LEAST_LENGTH * typical)
                 order = np.argsort(-n, axis=1, kind="stable")[:, :MOST]
                 top = np.take_along_axis(n, order, 1)
                 row, place = np.nonzero((top >= SENTENCES) & (top >= SENTENCE_SHARE * n.sum(axis=1, keepdims=True)))
@@ -306,15 +333,17 @@ def assign_subjects(documents: DataFrame, labels: DataFrame, subjects: list[str]
     return encoded.select("doc_id", "codes").mapInArrow(classify, schema)
 
 
-def sentence_counts(b: pa.RecordBatch, vectors: np.ndarray, centroids: np.ndarray, subject_of: np.ndarray, k: int, least: float) -> np.ndarray:
+def sentence_counts(b: pa.RecordBatch, number: np.ndarray, vectors: np.ndarray, centroids: np.ndarray, subject_of: np.ndarray, k: int, least: float) -> np.ndarray:
     """Sentences by document and subject of encoded documents (-1 ends a sentence): each goes to the nearest centroid, if any is near."""
     code, lengths = _flat(b.column("codes"), np.int32)
     out = np.zeros((b.num_rows, k), np.int64)
-    use = code >= 0
+    sentence = np.cumsum(code < 0)
+    term = np.where(code >= 0, number[code], -1)
+    use = term >= 0
     if not use.any():
         return out
-    sentence = np.cumsum(~use)[use]
-    pair = np.unique(sentence * len(vectors) + code[use])
+    sentence = sentence[use]
+    pair = np.unique(sentence * len(vectors) + term[use])
     row = pair // len(vectors)
     first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
     e = np.add.reduceat(vectors[pair % len(vectors)], first, axis=0)

@@ -305,3 +305,20 @@ def test_subjects_of_made_up_documents(spark):
     assert len(got & truth) / len(got) > 0.95 and len(got & truth) / len(truth) > 0.95
     assert subjects.assign_subjects(df, lb.filter("false"), sorted(topics)).count() == 0
     assert rows(subjects.assign_subjects(df.filter("false"), lb, sorted(topics))) == []
+
+
+def test_a_rare_subject_has_a_centroid(spark, monkeypatch):
+    """Labels are drawn by subject: one with few of them, each in a language of its own, is found all the same."""
+    monkeypatch.setattr(subjects, "MAX_LABELLED", 120)
+    r = random.Random(9)
+    topics = {s: [f"{s}term{chr(97 + i)}" for i in range(12)] for s in ("art", "law", "bio")}
+    line = lambda s: " ".join(f"common{chr(97 + r.randrange(20))}" for _ in range(5)) + f" {r.choice(topics[s])} {r.choice(topics[s])}."
+    docs, truth, labels = [], set(), []
+    for d in range(1200):
+        s = "bio" if d % 100 == 0 else r.choice(["art", "law"])
+        docs.append((d, " ".join(line(s) for _ in range(5)), f"l{d}" if s == "bio" else "en"))
+        truth.add((d, s))
+        labels.append((d, s))
+    df, lb = spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), spark.createDataFrame(labels, "doc_id bigint, subject string")
+    got = {tuple(x) for x in subjects.assign_subjects(df, lb, sorted(topics)).collect()}
+    assert len({x for x in got & truth if x[1] == "bio"}) >= 10 and len(got & truth) / len(got | truth) > 0.95
