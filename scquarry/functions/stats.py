@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Buckets of values into which each group is cut for ranking.
-BUCKETS = 64
+from scquarry.session import materialize
+
+#: Buckets of values into which each group is cut for ranking; a value with more than this part of all rows is a heavy tie.
+BUCKETS, HEAVY = 64, 1000
 
 
 def finite(c: Column) -> Column:
@@ -17,14 +19,18 @@ def finite(c: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS, also: dict[str, Column] | None = None) -> DataFrame:
     """keys, value, n_equal, before (rows of the group with less) and n, one row per distinct finite value of a group.
 
+    also names further aggregates of the rows of a value.
+
     Equal values are counted before anything is sorted. A group is cut into buckets at approximate quantiles and the places in
     a bucket are counted on from the sizes of those before it, so that no task sorts a whole group; the ranks are exact however
     the cuts fall. Groups without finite values have no rows.
     """
-    counts = df.filter(finite(F.col(value))).groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n_equal"))
+    also = also or {}
+    counts = df.filter(finite(F.col(value))).groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n_equal"), *[a.alias(n) for n, a in also.items()])
+    counts = materialize(counts, "counts")  # read for the cuts and for what is cut
     cuts = counts.groupBy(*keys).agg(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
     same = lambda a, b: a.join(b.withColumnsRenamed({k: f"_k_{k}" for k in keys}), _same(keys), "inner").drop(*[f"_k_{k}" for k in keys])
     cut = same(counts, cuts).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
@@ -33,7 +39,7 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = B
     sizes = sizes.select(*keys, "_b", (F.sum("_s").over(along.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)) - F.col("_s")).alias("_offset"), F.sum("_s").over(along).alias("n"))
     joined = cut.join(sizes.withColumnsRenamed({**{k: f"_k_{k}" for k in keys}, "_b": "_k_b"}), _same(keys) & (F.col("_b") == F.col("_k_b")))
     inside = W.partitionBy(*keys, "_b").orderBy("value").rowsBetween(W.unboundedPreceding, 0)
-    return joined.select(*keys, "value", "n_equal", (F.col("_offset") + F.sum("n_equal").over(inside) - F.col("n_equal")).alias("before"), "n")
+    return joined.select(*keys, "value", "n_equal", (F.col("_offset") + F.sum("n_equal").over(inside) - F.col("n_equal")).alias("before"), "n", *also)
 
 
 def _same(keys: Sequence[str]) -> Column:
@@ -44,9 +50,18 @@ def _same(keys: Sequence[str]) -> Column:
 
 
 def average_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """df's rows with finite values and their average rank (from 1; ties share the mean of their places) within keys."""
-    r = value_ranks(df, keys, value).select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("value").alias("_ranked"), (F.col("before") + (F.col("n_equal") + 1) / 2.0).alias(name))
-    return df.join(r, _same(keys) & (F.col(value).cast("double") == F.col("_ranked"))).drop("_ranked", *[f"_k_{k}" for k in keys])
+    """df's rows with finite values and their average rank (from 1; ties share the mean of their places) within keys.
+
+    Values that many rows share (more than 1 / HEAVY of all rows: no more than HEAVY values) are joined by a broadcast, so that no
+    task gets all rows of a tie; the others by a shuffle. df is read three times.
+    """
+    r = materialize(value_ranks(df, keys, value), "ranks")
+    least = (r.agg(F.coalesce(F.sum("n_equal"), F.lit(0)).alias("t")).first()["t"] or 0) / HEAVY
+    ranked = r.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("value").alias("_ranked"), (F.col("before") + (F.col("n_equal") + 1) / 2.0).alias(name), (F.col("n_equal") > F.lit(least)).alias("_heavy"))
+    here = _same(keys) & (F.col(value).cast("double") == F.col("_ranked"))
+    heavy, light = F.broadcast(ranked.filter("_heavy")), ranked.filter("NOT _heavy")
+    rest = df.join(heavy.select("_ranked", *[f"_k_{k}" for k in keys]), here, "left_anti")
+    return df.join(heavy, here).union(rest.join(light, here)).drop("_ranked", "_heavy", *[f"_k_{k}" for k in keys])
 
 
 def percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float]) -> DataFrame:
@@ -64,7 +79,8 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str
 def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Per group n and rho of the rows with both values finite; rho is null with fewer than three rows or without variation."""
     both = df.filter(finite(F.col(x)) & finite(F.col(y))).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    ranked = average_ranks(average_ranks(both, keys, "_x", "_rx"), keys, "_y", "_ry")
+    once = materialize(average_ranks(materialize(both, "pairs"), keys, "_x", "_rx").drop("_x"), "pairs")
+    ranked = average_ranks(once, keys, "_y", "_ry")
     s = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("_rx", "_ry").alias("_c"), (F.stddev_pop("_rx") * F.stddev_pop("_ry")).alias("_d"))
     return s.select(*keys, "n", F.when(F.col("n") >= 3, F.col("_c") / F.nullif(F.col("_d"), F.lit(0.0))).alias("rho"))
 
@@ -137,11 +153,16 @@ def rank_sum(df: DataFrame, keys: Sequence[str], value: str, inside: str, n_cell
     df holds non-zero values (positive) with a flag inside; n_cells the numbers of all cells (one row of n_in and n_out). The cells
     without a row tie at zero, below all others.
     """
-    ranked = average_ranks(df.select(*keys, F.col(value).cast("double").alias("_v"), F.col(inside).alias("_i")), keys, "_v", "_r")
-    ties = value_ranks(df.select(*keys, F.col(value).alias("_v")), keys, "_v").groupBy(*keys).agg(F.sum(F.pow("n_equal", F.lit(3)) - F.col("n_equal")).alias("_t"))
-    s = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nz"), F.count(F.when(F.col("_i"), 1)).alias("_nzi"), F.coalesce(F.sum(F.when(F.col("_i"), F.col("_r"))), F.lit(0.0)).alias("_s"))
+    # equal values are counted before they are ranked, those inside too: no row is joined to its rank
+    r = value_ranks(df.select(*keys, F.col(value).cast("double").alias("_v"), F.col(inside).alias("_i")), keys, "_v", also={"_in": F.count(F.when(F.col("_i"), 1))})
     size = n_cells.select("n_in", "n_out").first()
-    s = s.join(ties, list(keys)).withColumns({c: F.lit(size[c]) for c in ("n_in", "n_out")})
+    s = r.groupBy(*keys).agg(
+        F.sum("n_equal").alias("_nz"),
+        F.sum("_in").alias("_nzi"),
+        F.sum(F.col("_in") * (F.col("before") + (F.col("n_equal") + 1) / 2.0)).alias("_s"),
+        F.sum(F.pow("n_equal", F.lit(3)) - F.col("n_equal")).alias("_t"),
+    )
+    s = s.withColumns({c: F.lit(size[c]) for c in ("n_in", "n_out")})
     n = F.col("n_in") + F.col("n_out")
     zeros = n - F.col("_nz")
     rank = F.col("_s") + F.col("_nzi") * zeros + (F.col("n_in") - F.col("_nzi")) * (zeros + 1) / 2.0

@@ -12,65 +12,85 @@ from pyspark.sql import functions as F
 
 from scquarry.session import materialize
 
-#: Query vectors of one pass over the base; with vectors of 100 numbers about 3 MB.
+#: Query vectors that go to every task, and those of a block where there are more; with vectors of 100 numbers about 3 MB.
 BLOCK = 4096
+#: Cells with one neighbour that are compared in one task; of a neighbour of more cells, parts are compared.
+HUB = 2000
+#: Pairs of labels that are joined on the driver.
+DRIVER_PAIRS = 100_000
 #: Share of the true neighbours that an index must find, and the queries on which that is measured.
 RECALL, MEASURED = 0.9, 500
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int = 20, block: int = BLOCK) -> DataFrame:
+def _best(ids: np.ndarray, q: np.ndarray, kept: tuple[np.ndarray, np.ndarray] | None, own: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances and ids of the k nearest of each query: those kept so far and the vectors x of own; ties go to the smaller id."""
+    d = np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] - 2 * q @ x.T + (x * x).sum(axis=1)[None, :], 0))
+    d[ids[:, None] == own[None, :]] = np.inf
+    i = np.broadcast_to(own, d.shape)
+    if kept is not None:
+        d, i = np.hstack([kept[0], d]), np.hstack([kept[1], i])
+    if d.shape[1] > k:
+        # all that tie with the k-th may be wanted: ids decide
+        edge = np.partition(d, k - 1, axis=1)[:, k - 1]
+        order = np.array([sorted(np.flatnonzero(d[r] <= edge[r]), key=lambda c: (d[r, c], i[r, c]))[:k] for r in range(len(ids))]).reshape(len(ids), k)
+        d, i = np.take_along_axis(d, order, 1), np.take_along_axis(i, order, 1)
+    return d, i
+
+
+def nearest(queries: DataFrame, base: DataFrame, k: int = 20, block: int = BLOCK, rows_block: int = 16 * BLOCK) -> DataFrame:
     """The k nearest base vectors of every query: src, dst, rnk (from 1), dist (Euclidean); a query's own id is left out.
 
-    queries and base have cell_id and vec. Queries go through the base in blocks of bounded size: every task keeps the best k of
-    its own rows for each query, and these are merged by query, so that never all pairs exist anywhere. Ties go to the
-    smaller id. Rows with a null id or vector are left out; with fewer than k other vectors all are given.
+    queries and base have cell_id and vec. Up to block queries go to every task, which keeps the best k of its own rows for each.
+    More are cut into blocks by a hash, and so are the rows; each block of queries meets each block of rows in a task of its own.
+    The best of each are merged by query, so that never all pairs exist anywhere. Ties go to the smaller id. Rows with a null
+    id or vector are left out; with fewer than k other vectors all are given.
     """
     spark, kind = base.sparkSession, base.schema["cell_id"].dataType.simpleString()
-    rows = base.filter("cell_id IS NOT NULL AND vec IS NOT NULL").select("cell_id", F.col("vec").cast("array<double>").alias("vec"))
+    given = lambda df: df.filter("cell_id IS NOT NULL AND vec IS NOT NULL").select("cell_id", F.col("vec").cast("array<double>").alias("vec"))
+    rows, asked = given(base), given(queries)
     schema = f"src {kind}, dst {kind}, dist double"
+    count = asked.count()
+    if not count:
+        return spark.createDataFrame([], f"src {kind}, dst {kind}, rnk int, dist double")
+
+    def give(ids: np.ndarray, kept: tuple[np.ndarray, np.ndarray] | None) -> pa.RecordBatch:
+        d, i = kept if kept is not None else (np.zeros((len(ids), 0)), np.zeros((len(ids), 0), object))
+        good = np.isfinite(d)
+        src = np.broadcast_to(ids[:, None], d.shape)[good]
+        return pa.RecordBatch.from_arrays([pa.array(src.tolist()).cast(_arrow(kind)), pa.array(i[good].tolist()).cast(_arrow(kind)), pa.array(d[good])], ["src", "dst", "dist"])
+
+    if count <= block:
+        some = asked.collect()  # at most block rows
+        shared = spark.sparkContext.broadcast((np.array([r["cell_id"] for r in some], object), np.array([r["vec"] for r in some], float)))
 
-    def best(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            norm = (q * q).sum(axis=1)
-            keep_d, keep_i = np.full((len(ids), 0), 0.0), np.full((len(ids), 0), None, object)
+            (ids, q), kept = shared.value, None
             for big in batches:
                 for at in range(0, big.num_rows, 2048):
                     b = big.slice(at, 2048)
-                    x = np.array(b.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(b.num_rows, -1)
-                    own = np.array(b.column(0).to_pylist(), object)
-                    d = np.sqrt(np.maximum(norm[:, None] - 2 * q @ x.T + (x * x).sum(axis=1)[None, :], 0))
-                    d[ids[:, None] == own[None, :]] = np.inf
-                    d, i = np.hstack([keep_d, d]), np.hstack([keep_i, np.broadcast_to(own, (len(ids), len(own)))])
-                    if d.shape[1] > k:
-                        # all that tie with the k-th may be wanted: ids decide
-                        edge = np.partition(d, k - 1, axis=1)[:, k - 1]
-                        order = [sorted(np.flatnonzero(d[r] <= edge[r]), key=lambda c: (d[r, c], i[r, c]))[:k] for r in range(len(ids))]
-                        d, i = np.take_along_axis(d, np.array(order), 1), np.take_along_axis(i, np.array(order), 1)
-                    keep_d, keep_i = d, i
-            good = np.isfinite(keep_d)
-            src = np.broadcast_to(ids[:, None], keep_d.shape)[good]
-            yield pa.RecordBatch.from_arrays([pa.array(src.tolist()).cast(_arrow(kind)), pa.array(keep_i[good].tolist()).cast(_arrow(kind)), pa.array(keep_d[good])], ["src", "dst", "dist"])
-
-        return run
-
-    out, ids, vectors = None, [], []
-
-    def add(out):
-        part = rows.mapInArrow(best(spark.sparkContext.broadcast((np.array(ids, object), np.array(vectors, float)))), schema)
-        return part if out is None else out.union(part)
-
-    for r in queries.filter("cell_id IS NOT NULL AND vec IS NOT NULL").select("cell_id", F.col("vec").cast("array<double>").alias("vec")).toLocalIterator():
-        ids.append(r["cell_id"])
-        vectors.append(r["vec"])
-        if len(ids) == block:
-            out, ids, vectors = add(out), [], []
-    if ids:
-        out = add(out)
-    if out is None:
-        return spark.createDataFrame([], f"src {kind}, dst {kind}, rnk int, dist double")
+                    kept = _best(ids, q, kept, np.array(b.column(0).to_pylist(), object), np.array(b.column(1).flatten().to_numpy(zero_copy_only=False)).reshape(b.num_rows, -1), k)
+            yield give(ids, kept)
+
+        found = rows.mapInArrow(run, schema)
+    else:
+        own = lambda n: F.pmod(F.xxhash64("cell_id"), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        n_q, n_r = max(1, -(-count // block)), max(1, -(-rows.count() // rows_block))
+
+        def meet(left, right):
+            import pandas as pd
+
+            ids, kept = left["cell_id"].to_numpy(object), None
+            if len(left) and len(right):
+                q, x, names = np.vstack(left["vec"].to_numpy()), np.vstack(right["vec"].to_numpy()), right["cell_id"].to_numpy(object)
+                for at in range(0, len(x), 2048):
+                    kept = _best(ids, q, kept, names[at : at + 2048], x[at : at + 2048], k)
+            return pa.Table.from_batches([give(ids, kept)]).to_pandas() if kept is not None else pd.DataFrame({c: pd.Series([], dtype=t) for c, t in (("src", left["cell_id"].dtype), ("dst", left["cell_id"].dtype), ("dist", float))})
+
+        left, right = asked.withColumn("qb", own(n_q)).withColumn("rb", every(n_r)), rows.withColumn("rb", own(n_r)).withColumn("qb", every(n_q))
+        found = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(meet, schema)
     place = F.row_number().over(W.partitionBy("src").orderBy("dist", "dst"))
-    return out.withColumn("rnk", place).filter(F.col("rnk") <= k).select("src", "dst", "rnk", "dist")
+    return found.withColumn("rnk", place).filter(F.col("rnk") <= k).select("src", "dst", "rnk", "dist")
 
 
 def _arrow(kind: str) -> pa.DataType:
@@ -174,21 +194,26 @@ def nearest_indexed(base: DataFrame, k: int = 20, lists: int | None = None, prob
     return found.withColumn("rnk", place).filter(F.col("rnk") <= k).select("src", "dst", "rnk", "dist")
 
 
-def neighbour_graph(vectors: DataFrame, k: int = 20, exact_rows: int = 100_000) -> DataFrame:
-    """The k nearest of every vector: by exact search up to exact_rows vectors, beyond that by the inverted file with a measured recall."""
-    return nearest(vectors, vectors, k) if vectors.count() <= exact_rows else nearest_indexed(vectors, k)
+def neighbour_graph(vectors: DataFrame, k: int = 20, exact: bool = False) -> DataFrame:
+    """The k nearest of every vector: by the inverted file with a measured recall of RECALL or more, or by exact search if that is asked for."""
+    return nearest(vectors, vectors, k) if exact else nearest_indexed(vectors, k)
 
 
-def shared_neighbours(nn: DataFrame, prune: float = 1 / 15) -> DataFrame:
+def shared_neighbours(nn: DataFrame, prune: float = 1 / 15, hub: int = HUB) -> DataFrame:
     """The shared-neighbour graph: src < dst, weight = common / all neighbours (each cell is its own), weights below prune left out.
 
-    A cell is the neighbour of few others where k is small; hubs are combined on the map side before pairs are counted.
+    Cells meet at the neighbours that they share. The cells of a neighbour of more than hub cells are cut into parts by a hash, and
+    each part meets each other part in a task of its own, so that a hub makes no large task.
     """
     nn = materialize(nn.select("src", "dst"), "nn")  # read several times below
     own = nn.union(nn.select("src", F.col("src").alias("dst")).distinct())
     sizes = own.groupBy("src").agg(F.count(F.lit(1)).alias("k"))
-    a, b = own.select(F.col("src").alias("x"), "dst"), own.select(F.col("src").alias("y"), "dst")
-    common = a.join(b, "dst").filter("x < y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
+    hubs = own.groupBy("dst").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(hub))).cast("int").alias("parts")).filter("parts > 1")
+    cut = materialize(own.join(hubs, "dst", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("src"), F.col("parts")).cast("int")), "hubs")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = cut.select(F.col("src").alias("x"), "dst", F.col("part").alias("p"), every.alias("q"))
+    b = cut.select(F.col("src").alias("y"), "dst", F.col("part").alias("q"), every.alias("p"))
+    common = a.join(b, ["dst", "p", "q"]).filter("x < y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
     j = common.join(sizes.select(F.col("src").alias("x"), F.col("k").alias("kx")), "x").join(sizes.select(F.col("src").alias("y"), F.col("k").alias("ky")), "y")
     weight = F.col("c") / (F.col("kx") + F.col("ky") - F.col("c"))
     return j.select(F.col("x").alias("src"), F.col("y").alias("dst"), weight.alias("weight")).filter(F.col("weight") >= prune)
@@ -210,22 +235,36 @@ def neighbour_means(nn: DataFrame, values: DataFrame, value: str) -> DataFrame:
     return nn.select("src", "dst").join(v, "dst", "left").groupBy(F.col("src").alias("cell_id")).agg(F.avg(F.coalesce("_v", F.lit(0.0))).alias("smooth"))
 
 
-def components(pairs: DataFrame, a: str, b: str, limit: int = 1_000_000) -> int:
-    """The number of connected groups of a bipartite graph of labels, given its distinct pairs (at most limit, else an error)."""
-    root: dict = {}
+def components(pairs: DataFrame, a: str, b: str, driver_pairs: int = DRIVER_PAIRS) -> int:
+    """The number of connected groups of a bipartite graph of labels.
 
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    got = pairs.select(a, b).distinct().limit(limit + 1).collect()
-    if len(got) > limit:
-        raise ValueError("too many label pairs")
-    for r in got:
-        root[find(("a", r[0]))] = find(("b", r[1]))
-    return len({find(x) for x in list(root)})
+    Up to driver_pairs distinct pairs are joined on the driver. With more, every label takes the least label of those beside it until
+    none changes; labels take those of their labels at the same time, so that chains are short.
+    """
+    name = lambda side, c: F.concat(F.lit(side), F.col(c).cast("string"))
+    edges = materialize(pairs.select(name("a", a).alias("x"), name("b", b).alias("y")).dropna().distinct(), "pairs")
+    if edges.count() <= driver_pairs:
+        root: dict[str, str] = {}
+
+        def find(x: str) -> str:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for r in edges.collect():
+            root[find(r["x"])] = find(r["y"])
+        return len({find(x) for x in list(root)})
+    both = edges.union(edges.select("y", "x"))
+    labels = materialize(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("label")), "labels")
+    while True:
+        beside = both.join(labels.select(F.col("x").alias("y"), "label"), "y").groupBy("x").agg(F.min("label").alias("near"))
+        new = labels.join(beside, "x").select("x", "label", F.least("label", "near").alias("least"))
+        jump = labels.select(F.col("x").alias("least"), F.col("label").alias("further"))
+        new = materialize(new.join(jump, "least").select("x", F.least("least", "further").alias("label"), (F.least("least", "further") != F.col("label")).alias("moved")), "labels")
+        labels = new.select("x", "label")
+        if new.filter("moved").isEmpty():
+            return labels.select("label").distinct().count()
 
 
 def batch_design(cells: DataFrame, fields: Sequence[str], group: str, selected: str | None, technical: Sequence[str] = ()) -> DataFrame:

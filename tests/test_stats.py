@@ -122,7 +122,9 @@ def test_neighbours_against_brute_force(spark):
     approx = graph.nearest_indexed(df, 10, lists=8, probes=6)
     exact = {(r["src"], r["dst"]) for r in graph.nearest(df, df, 10).collect()}
     assert len(exact & {(r["src"], r["dst"]) for r in approx.collect()}) / len(exact) >= 0.9
-    again = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 10, exact_rows=10).collect()}
+    blocks = {(r["src"], r["dst"]) for r in graph.nearest(df, df, 10, block=64, rows_block=50).collect()}
+    assert blocks == exact == {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 10, exact=True).collect()}
+    again = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 10).collect()}
     assert len(exact & again) / len(exact) >= 0.9
     assert graph.nearest(df.filter("false"), df, 3).count() == 0
 
@@ -133,10 +135,51 @@ def test_index_reaches_its_recall_in_64_dimensions(spark):
     for x in (plain, 3 * r.normal(size=(25, 64))[r.integers(0, 25, 2500)] + plain):
         df = materialize(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "cell_id bigint, vec array<double>"), "vectors")
         exact = {(r["src"], r["dst"]) for r in graph.nearest(df, df, 20).collect()}
-        found = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 20, exact_rows=1000).collect()}
+        found = {(r["src"], r["dst"]) for r in graph.neighbour_graph(df, 20).collect()}
         assert len(exact & found) / len(exact) >= 0.9
 
 
+def test_hubs_are_cut(spark):
+    """A cell that all have as a neighbour: the same graph, whatever the parts."""
+    r = random.Random(2)
+    data = {(i, 0) for i in range(1, 120)} | {(i, r.randrange(120)) for i in range(120) for _ in range(5)}
+    nn = spark.createDataFrame([x for x in data if x[0] != x[1]], "src bigint, dst bigint")
+    near = {i: {i} | {d for s, d in data if s == i and d != i} for i in range(120)}
+    want = {(i, j): len(near[i] & near[j]) / len(near[i] | near[j]) for i in range(120) for j in range(i + 1, 120) if near[i] & near[j]}
+    want = {k: w for k, w in want.items() if w >= 1 / 15}
+    for hub in (graph.HUB, 10):
+        got = {(x["src"], x["dst"]): x["weight"] for x in graph.shared_neighbours(nn, hub=hub).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_connected_groups(spark):
+    r = random.Random(4)
+    chain = [(f"a{i}", f"b{i + j}") for i in range(60) for j in (0, 1)]
+    data = chain + [(f"x{i}", f"y{i}") for i in range(5)] + [(f"r{r.randrange(40)}", f"s{r.randrange(40)}") for _ in range(30)] + [(None, "b1"), ("a1", None)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in data:
+        if a and b:
+            root[find("l" + a)] = find("r" + b)
+    want = len({find(x) for x in list(root)})
+    df = spark.createDataFrame(data, "a string, b string")
+    assert graph.components(df, "a", "b") == graph.components(df, "a", "b", driver_pairs=0) == want
+    assert graph.components(df.filter("false"), "a", "b") == 0
+
+
+def test_ranks_of_heavy_ties(spark):
+    data = [("g", 0.0 if i % 3 else float(i), float(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    rank = lambda v: np.array([(v < x).sum() + ((v == x).sum() + 1) / 2 for x in v])
+    rx, ry = (rank(np.array([d[i] for d in data])) for i in (1, 2))
+    assert stats.spearman(df, ["g"], "x", "y").first()["rho"] == pytest.approx(np.corrcoef(rx, ry)[0, 1])
+
+
 def test_expected_doublets_round_half_to_even(spark):
     h = spark.createDataFrame([("a", 112, 0.2), ("b", 113, 0.2), ("c", 12, 0.9)], "library_id string, n_cells bigint, homotypic double")
     got = {r["library_id"]: (r["n_exp"], r["n_exp_adj"], r["valid"]) for r in review.expected_doublets(h).collect()}
