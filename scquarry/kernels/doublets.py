@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scquarry.session import materialize
+
 #: Share of artificial cells, components, genes, neighbourhoods tried (shares of all cells), shares of artificial cells tried.
 PN, COMPONENTS, GENES = 0.25, 10, 500
 PKS = (0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3)
@@ -36,8 +38,13 @@ def neighbour_shares(counts: np.ndarray, pn: float, pks: tuple[float, ...], seed
     rng = np.random.default_rng(seed)
     m = max(1, int(round(n / (1 - pn) - n)))
     pairs = rng.integers(0, n, (m, 2))
-    x = np.vstack([counts, (counts[pairs[:, 0]] + counts[pairs[:, 1]]) / 2])
-    x = np.log1p(1e4 * x / np.maximum(x.sum(axis=1, keepdims=True), 1e-12))
+    x = np.empty((n + m, counts.shape[1]), counts.dtype)
+    x[:n] = counts
+    for at in range(0, m, 4096):
+        i, j = pairs[at : at + 4096].T
+        x[n + at : n + at + len(i)] = (counts[i] + counts[j]) / 2
+    x *= (1e4 / np.maximum(x.sum(axis=1, keepdims=True), 1e-12)).astype(x.dtype)
+    np.log1p(x, out=x)  # in place: this is a task's largest table
     use = np.argsort(-x[:n].var(axis=0), kind="stable")[:GENES]
     x = x[:, use]
     x = (x - x[:n].mean(axis=0)) / np.maximum(x[:n].std(axis=0), 1e-9)
@@ -57,8 +64,8 @@ def neighbour_shares(counts: np.ndarray, pn: float, pks: tuple[float, ...], seed
     return out
 
 
-def score_library(p: pd.DataFrame, seed: int = 42) -> tuple[np.ndarray, pd.DataFrame, np.ndarray]:
-    """Of one library's counts (cell_id, gene_id, value): its cells, the sweep (pk, metric) and pann at the best pk."""
+def dense(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of a library's counts (cell_id, gene_id, value): its cells, and their counts of the genes that vary most."""
     cells, row = np.unique(p["cell_id"].to_numpy(), return_inverse=True)
     genes, col = np.unique(p["gene_id"].to_numpy(), return_inverse=True)
     sums = np.bincount(col, p["value"].to_numpy(float))
@@ -69,28 +76,53 @@ def score_library(p: pd.DataFrame, seed: int = 42) -> tuple[np.ndarray, pd.DataF
     x = np.zeros((len(cells), len(keep)), np.float32)
     ok = place[col] >= 0
     x[row[ok], place[col[ok]]] = p["value"].to_numpy(float)[ok]
-    b = np.array([[bimodality(c) for c in neighbour_shares(x, pn, PKS, seed + i).T] for i, pn in enumerate(PNS)])
+    return cells, x
+
+
+def sweep(x: np.ndarray, seed: int) -> np.ndarray:
+    """The bimodality of the shares by share of artificial cells tried and neighbourhood tried."""
+    return np.array([[bimodality(c) for c in neighbour_shares(x, pn, PKS, seed + i).T] for i, pn in enumerate(PNS)])
+
+
+def best_neighbourhood(bimodalities: np.ndarray) -> float:
+    """The neighbourhood whose bimodality is high and alike for all shares of artificial cells."""
     with np.errstate(all="ignore"):
-        metric = b.mean(axis=0) / b.var(axis=0, ddof=1)
+        metric = bimodalities.mean(axis=0) / bimodalities.var(axis=0, ddof=1)
     good = np.isfinite(metric)
-    pk = PKS[int(np.flatnonzero(good)[metric[good].argmax()])] if good.any() else PKS[3]
-    return cells, pd.DataFrame({"pk": PKS, "metric": metric}), neighbour_shares(x, PN, (pk,), seed)[:, 0]
+    return PKS[int(np.flatnonzero(good)[metric[good].argmax()])] if good.any() else PKS[3]
 
 
 def doublet_scores(counts: DataFrame, libraries: DataFrame, library: str = "library_id", min_cells: int = 30, seed: int = 42, library_cells: int = LIBRARY_CELLS) -> DataFrame:
     """library, cell_id, pann, pk of the cells of libraries with min_cells or more; smaller ones are not evaluated.
 
-    libraries: cell_id and library. Each library is scored on its own; one with more cells than library_cells is cut into
-    equal parts by a hash of the cell, so that a library with a third of all cells makes many tasks.
+    libraries: cell_id and library. Each library is scored on its own. One with more cells than library_cells is cut into equal
+    parts by a hash of the cell, samples of the library, so that a library with a third of all cells makes many tasks: the
+    neighbourhood pk, a share of the cells, is chosen once for the library from all its parts, and the cells of each part are
+    compared with those and the artificial cells of the part.
     """
     sizes = libraries.groupBy(library).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_cells)
     parts = libraries.join(sizes, library).withColumn("_part", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / float(library_cells))).cast("int"))
     rows = counts.filter("value > 0").join(parts.select("cell_id", library, "_part"), "cell_id").select(library, "_part", "cell_id", "gene_id", "value")
+    rows = materialize(rows, "libraries")
     kind, kinds = counts.schema["cell_id"].dataType.simpleString(), libraries.schema[library].dataType.simpleString()
 
-    def run(p: pd.DataFrame) -> pd.DataFrame:
-        cells, sweep, pann = score_library(p, seed)
-        best = sweep.loc[sweep["metric"].where(np.isfinite(sweep["metric"])).idxmax(), "pk"] if np.isfinite(sweep["metric"]).any() else PKS[3]
-        return pd.DataFrame({library: p[library].iloc[0], "cell_id": cells, "pann": pann, "pk": best})
+    def tried(p: pd.DataFrame) -> pd.DataFrame:
+        cells, x = dense(p)
+        return pd.DataFrame({library: p[library].iloc[0], "_cells": len(cells), "_bimodality": [sweep(x, seed).ravel().tolist()]})
+
+    def chosen(p: pd.DataFrame) -> pd.DataFrame:
+        b = np.stack(p["_bimodality"].to_numpy()).reshape(len(p), len(PNS), len(PKS))
+        w = p["_cells"].to_numpy(float)[:, None, None] * np.isfinite(b)
+        with np.errstate(all="ignore"):
+            b = (np.nan_to_num(b) * w).sum(axis=0) / w.sum(axis=0)
+        return pd.DataFrame({library: [p[library].iloc[0]], "_pk": [best_neighbourhood(b)]})
+
+    found = rows.groupBy(library, "_part").applyInPandas(tried, f"{library} {kinds}, _cells bigint, _bimodality array<double>")
+    pk = materialize(found.groupBy(library).applyInPandas(chosen, f"{library} {kinds}, _pk double"), "pk")  # one row per library
+
+    def score(p: pd.DataFrame) -> pd.DataFrame:
+        cells, x = dense(p)
+        pk = float(p["_pk"].iloc[0])
+        return pd.DataFrame({library: p[library].iloc[0], "cell_id": cells, "pann": neighbour_shares(x, PN, (pk,), seed)[:, 0], "pk": pk})
 
-    return rows.groupBy(library, "_part").applyInPandas(run, f"{library} {kinds}, cell_id {kind}, pann double, pk double")
+    return rows.join(pk, library).groupBy(library, "_part").applyInPandas(score, f"{library} {kinds}, cell_id {kind}, pann double, pk double")
