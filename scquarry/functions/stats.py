@@ -115,12 +115,13 @@ def adjusted_rand(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFra
     return s.select(*keys, "n", F.when(F.coalesce(F.abs(room), F.lit(0.0)) < 1.5e-8, F.when(F.col("equal"), 1.0).otherwise(0.0)).otherwise((F.col("o") - expected) / room).alias("ari"))
 
 
-def pc_selection(spectrum: DataFrame, keys: Sequence[str], cumulative: float = 90.0, individual: float = 5.0, drop: float = 0.1, max_pc: int = 50) -> DataFrame:
+def pc_selection(spectrum: DataFrame, keys: Sequence[str], cumulative: float = 90.0, individual: float = 5.0, drop: float = 0.1, max_pc: int = 50, first_drop: bool = False) -> DataFrame:
     """How many components to keep per spectrum (keys, pc from 1, stdev): max_pc, sd_pick, drop_pick, pc_used, selection_method.
 
     Shares are those of the standard deviations. sd_pick is the first component with the cumulative share above and its own
     below the bounds; drop_pick the one after the last drop above the bound; the smaller counts, 20 if neither exists, and 2
-    at least. Spectra hold a bounded number of components, one group each.
+    at least. Spectra hold a bounded number of components, one group each. first_drop takes the first drop above the bound instead of
+    the last, and a cumulative share that reaches its bound instead of passing it: an earlier rule, kept as a control.
     """
     p = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
     s = spectrum.filter(F.col("pc") <= max_pc)
@@ -128,8 +129,8 @@ def pc_selection(spectrum: DataFrame, keys: Sequence[str], cumulative: float = 9
     s = s.withColumn("_cum", F.sum("_share").over(p.orderBy("pc").rowsBetween(W.unboundedPreceding, 0))).withColumn("_drop", F.col("_share") - F.lead("_share").over(p.orderBy("pc")))
     g = s.groupBy(*keys).agg(
         F.max("pc").cast("int").alias("max_pc"),
-        F.min(F.when((F.col("_cum") > cumulative) & (F.col("_share") < individual), F.col("pc"))).cast("int").alias("sd_pick"),
-        (F.max(F.when(F.col("_drop") > drop, F.col("pc"))) + 1).cast("int").alias("drop_pick"),
+        F.min(F.when(((F.col("_cum") >= cumulative) if first_drop else (F.col("_cum") > cumulative)) & (F.col("_share") < individual), F.col("pc"))).cast("int").alias("sd_pick"),
+        ((F.min if first_drop else F.max)(F.when(F.col("_drop") > drop, F.col("pc"))) + 1).cast("int").alias("drop_pick"),
     )
     used = F.greatest(F.lit(2), F.least(F.coalesce(F.least("sd_pick", "drop_pick"), F.lit(20)), F.col("max_pc"))).cast("int")
     method = (

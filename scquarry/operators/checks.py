@@ -88,3 +88,74 @@ def evidence_files(names: Sequence[str]) -> list[str]:
     """The summary tables among file names: tables with a row per cell are no evidence."""
     cell_level = ("cell_qc_all", "cell_level", "per_cell", "cell_contamination", "decontx_cells", "doublet_cells", "cell_cycle_cells", "cluster_assignments")
     return sorted(n for n in names if n.lower().endswith(".csv") and n.lower() != "metadata.csv" and not any(w in n.lower() for w in cell_level))
+
+
+#: Columns of a doublet and cycle checkpoint, and the calls that may be left in it.
+CHECKPOINT = ("pmt", "prp", "phb", "s_score", "g2m_score", "phase", "cc_difference", "pann", "df", "df_adj", "doublet_status")
+CALLS = ("Singlet", "NotEvaluated")
+
+
+def checkpoint_violations(
+    counts: DataFrame, cells: DataFrame, step: str, parent: DataFrame | None = None, corrected: DataFrame | None = None, provenance: dict | None = None, configuration: dict | None = None, decision: dict | None = None, tables: Iterable[str] = ()
+) -> DataFrame:
+    """rule, n: what a checkpoint of quality control (step qc1, qc2 or qc3) breaks; n is 0 for a rule that holds.
+
+    Metrics must be those of the counts. From qc2 on the columns of CHECKPOINT must be there, calls be one of CALLS, and cells that
+    weren't evaluated carry their skip marker. At qc3 the corrected matrix has the same cells and genes, finite numbers that
+    aren't negative, and contamination (column contamination) from 0 to 1. Counts must be those of the parent on the checkpoint's cells
+    and genes, all of them at qc3. Stored settings and decisions (in provenance) must be the current ones, without the ambient
+    settings before qc3. tables are names of tables; those that analyses leave behind must not be among them.
+    """
+    from scquarry.operators.matrix import child_violations
+
+    spark = counts.sparkSession
+    one = lambda name, df: df.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("n"))
+    plain = lambda *rows: spark.createDataFrame(list(rows), "rule string, n bigint")
+    sums = counts.groupBy("cell_id").agg(F.sum("value").alias("_n"), F.count(F.when(F.col("value") > 0, 1)).alias("_f"))
+    m = cells.join(sums, "cell_id", "left")
+    out = one("METRICS_DIFFER", m.filter(~F.coalesce((F.abs(F.col("ncount") - F.coalesce("_n", F.lit(0.0))) <= 1e-8) & (F.col("nfeature") == F.coalesce("_f", F.lit(0))), F.lit(False))))
+    out = out.union(plain(("TEMPORARY_STATE", sum(bool(re.search(r"^(pca|umap|nn|snn|neighbors|graph)", t)) for t in tables))))
+    if step in ("qc2", "qc3"):
+        missing = [c for c in CHECKPOINT if c not in cells.columns]
+        out = out.union(plain(("MISSING_COLUMNS", len(missing))))
+        if not missing:
+            out = out.union(one("REJECTED_CELLS", cells.filter(~F.coalesce(F.col("df_adj").isin(*CALLS), F.lit(False)))))
+            out = out.union(one("NO_SKIP_MARKER", cells.filter((F.col("df_adj") == "NotEvaluated") & ~F.coalesce(F.col("doublet_status") == "SKIPPED_LOW_CELL", F.lit(False)))))
+    if step == "qc3":
+        if corrected is None or "contamination" not in cells.columns:
+            out = out.union(plain(("NO_CORRECTION", 1)))
+        else:
+            keys = ["cell_id", "gene_id"]
+            out = out.union(one("OTHER_ENTRIES", corrected.select(keys).join(counts.filter("value > 0").select(keys), keys, "left_anti")))
+            out = out.union(one("CORRECTED_VALUES", corrected.filter("value IS NULL OR isnan(value) OR value < 0 OR value = double('Infinity')")))
+            out = out.union(one("CONTAMINATION_RANGE", cells.filter("contamination IS NULL OR isnan(contamination) OR contamination < 0 OR contamination > 1")))
+    if parent is not None:
+        out = out.union(one("CHANGED_COUNTS", child_violations(parent, counts)))
+        if step == "qc3":
+            lost = parent.select("cell_id", "gene_id").join(counts.select("cell_id", "gene_id"), ["cell_id", "gene_id"], "left_anti")
+            out = out.union(one("LOST_COUNTS", lost))
+    if configuration is not None or decision is not None:
+        stored = provenance or {}
+        strip = lambda c: {k: v for k, v in (c or {}).items() if k != "ambient" or step == "qc3"}
+        settings = configuration is not None and strip(stored.get("configuration")) != strip(configuration)
+        decided = decision is not None and stored.get("user_decision") is not None and stored["user_decision"] != decision
+        out = out.union(plain(("SETTINGS_DIFFER", int(settings)), ("DECISION_DIFFERS", int(decided)), ("OTHER_STEP", int(stored.get("stage") != step))))
+    return out
+
+
+def report_dimensions(report: DataFrame, n_cells: int, n_genes: int) -> DataFrame:
+    """metric, reported, found, equal of final_cells and final_genes; the last row of a metric (by its place, column n) counts."""
+    rows = report.filter((F.col("section") == "RUN") & F.col("metric").isin("final_cells", "final_genes")).groupBy("metric").agg(F.max_by("value", "n").alias("reported"))
+    found = F.when(F.col("metric") == "final_cells", F.lit(n_cells)).otherwise(F.lit(n_genes))
+    both = report.sparkSession.createDataFrame([("final_cells",), ("final_genes",)], "metric string").join(rows, "metric", "left")
+    number = F.expr("try_cast(reported AS BIGINT)")
+    return both.withColumn("found", found.cast("bigint")).withColumn("equal", F.coalesce(number == F.col("found"), F.lit(False)))
+
+
+#: Columns that describe cells where they come from; all others are the work of earlier analyses.
+SOURCE = ("cell_id", "database", "sample", "grp", "group_name", "tissue", "disease", "source_type", "patient", "specimen", "cohort", "treatment", "library_id", "capture_id", "sequencing_run", "pool_id", "technology", "species")
+
+
+def contract_columns(cells: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """cells with the columns of SOURCE (and extra) that they have: normalized values, components and clusters of others stay behind."""
+    return cells.select(*[c for c in cells.columns if c in (*SOURCE, *extra)])

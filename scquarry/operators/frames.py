@@ -67,3 +67,26 @@ def tree(transitions: DataFrame) -> DataFrame:
     out = F.col("cells") / F.sum("cells").over(W.partitionBy("resolution_from", "resolution_to", "cluster_from"))
     into = F.col("cells") / F.sum("cells").over(W.partitionBy("resolution_from", "resolution_to", "cluster_to"))
     return c.withColumns({"share_out": out, "share_in": into})
+
+
+def cycle_panels(points: DataFrame, cells: DataFrame) -> DataFrame:
+    """x, y of the cells with their phase and both cycle scores, one row per cell and panel: panel, label, value."""
+    j = points.select("cell_id", "x", "y").join(cells.select("cell_id", "phase", "s_score", "g2m_score"), "cell_id")
+    panels = [F.struct(F.lit("phase").alias("panel"), F.col("phase").alias("label"), F.lit(None).cast("double").alias("value"))]
+    panels += [F.struct(F.lit(c).alias("panel"), F.lit(None).cast("string").alias("label"), F.col(c).cast("double").alias("value")) for c in ("s_score", "g2m_score")]
+    return j.select("cell_id", "x", "y", F.explode(F.array(*panels)).alias("p")).select("cell_id", "x", "y", "p.*")
+
+
+def before_and_after(before: DataFrame, after: DataFrame, cells: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """x, y of two layouts of the same cells with the labels of fields: stage, cell_id, x, y, field, value; missing fields are left out."""
+    have = [f for f in fields if f in cells.columns]
+    long = cells.select("cell_id", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in have])).alias("l")).select("cell_id", "l.*")
+    both = before.select(F.lit("before").alias("stage"), "cell_id", "x", "y").union(after.select(F.lit("after").alias("stage"), "cell_id", "x", "y"))
+    return both.join(long, "cell_id").select("stage", "cell_id", "x", "y", "field", "value")
+
+
+def dot_plot(structure: DataFrame) -> DataFrame:
+    """Dots of measured markers: cluster, marker, size (percent of cells with it), colour (mean, standardized over clusters, within 2.5)."""
+    w = W.partitionBy("marker")
+    z = (F.col("mean_expression") - F.avg("mean_expression").over(w)) / F.nullif(F.stddev_samp("mean_expression").over(w), F.lit(0.0))
+    return structure.filter("status = 'MEASURED'").select("cluster", "marker", (F.col("fraction_detected") * 100).alias("size"), F.greatest(F.lit(-2.5), F.least(F.lit(2.5), F.coalesce(z, F.lit(0.0)))).alias("colour"))

@@ -117,6 +117,27 @@ def pool_with_map(cells: DataFrame, mapping: DataFrame, expected: DataFrame | No
     return out
 
 
+def named_map(mapping: DataFrame, cell: str, sample: str) -> DataFrame:
+    """A map of cells under its own names of columns as cell_id, sample; other columns of it are left behind."""
+    return mapping.select(F.col(cell).cast("string").alias("cell_id"), F.col(sample).cast("string").alias("sample"))
+
+
+def select_mapped(counts: DataFrame, cells: DataFrame, mapping: DataFrame, samples: Sequence[str], confirmed: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Counts of the cells of confirmed samples, the whole map with a flag selected, and sample, cells, selected.
+
+    The map must cover the matrix. A part of its samples needs a confirmation; without one, samples must be all of them.
+    """
+    if not pool_with_map(cells, mapping).isEmpty():
+        raise ValueError("the cell map does not cover the matrix exactly")
+    wanted = F.col("sample").isin(*samples)
+    if not confirmed and (not mapping.filter(~wanted).isEmpty() or mapping.select("sample").distinct().count() != len(set(samples))):
+        raise ValueError("Cell map sample set must exactly match")
+    flagged = mapping.withColumn("selected", wanted)
+    own = flagged.filter("selected").select("cell_id")
+    totals = flagged.groupBy("sample", "selected").agg(F.count(F.lit(1)).alias("cells"))
+    return counts.join(own, "cell_id", "left_semi"), flagged, totals.select("sample", "cells", "selected")
+
+
 def reconcile_features(a: DataFrame, b: DataFrame) -> DataFrame:
     """Genes that only one of two inputs has (gene_id, only_in): sets must be equal, nothing is intersected or filled with zeros."""
     x, y = a.select("gene_id").distinct(), b.select("gene_id").distinct()

@@ -199,3 +199,20 @@ def recommendation(df: DataFrame, similar_ari: float = 0.9, similar_subspace: fl
     same = (F.col("ari") >= similar_ari) & (F.col("overlap") >= similar_subspace)
     no_gain = finite(F.col("before")) & finite(F.col("after")) & (F.col("after") >= F.col("before") - tolerance)
     return df.withColumn("recommendation", F.when(same, "SIMILAR_RESULTS").when(no_gain, "BASELINE_PREFERRED").otherwise("USER_REVIEW_REQUIRED"))
+
+
+def final_diagnostics(data: DataFrame, assignments: DataFrame, cells: DataFrame, genes: DataFrame, markers: DataFrame, resolution: float, fields: Sequence[str] = ("sample", "grp", "phase"), metrics: Sequence[str] = ("ncount", "nfeature", "pmt", "s_score", "g2m_score")) -> dict[str, DataFrame]:
+    """Tables on the clusters of the chosen resolution: markers (marker, status), structure (cluster, marker, mean, share of cells with it),
+    sizes, composition (cluster, field, value, cells) and distributions (cluster, metric profiles). Fields and metrics that cells lack
+    are left out."""
+    chosen = assignments.filter(F.abs(F.col("resolution") - float(resolution)) < 1e-10).select("cell_id", "resolution", "cluster")
+    names, known = _markers(markers, genes)
+    status = markers.sparkSession.createDataFrame([(m, "MEASURED" if m in known else "MARKER_ABSENT") for m in names], f"marker {markers.schema['marker'].dataType.simpleString()}, status string")
+    have = [c for c in metrics if c in cells.columns]
+    return {
+        "markers": status,
+        "structure": marker_structure(data, chosen, markers, genes),
+        "sizes": cluster_sizes(chosen).select("cluster", "cells", "fraction"),
+        "composition": composition_grid(chosen, cells, [f for f in fields if f in cells.columns]),
+        "distributions": metric_profiles(cells.join(chosen.select("cell_id", "cluster"), "cell_id"), "cluster", have),
+    }

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from scquarry.plans import ambient, audit, figures, graphs, joins, kernels, problems, qc, statistics
+from scquarry.plans import ambient, audit, checking, figures, graphs, invariants, joins, kernels, problems, qc, statistics
 
-_MODULES = (qc, joins, statistics, graphs, ambient, audit, figures, kernels, problems)
+_MODULES = (qc, joins, statistics, graphs, ambient, audit, figures, checking, kernels, invariants, problems)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}

@@ -6,24 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scquarry import model
-from scquarry.kernels import ambient, communities, components, doublets, integration, scores
+from scquarry.kernels import ambient, communities, components, doublets, integration, layout, scores
 from scquarry.operators import graph, matrix, review
 from scquarry.plans.common import rounded
 from scquarry.plans.graphs import K, neighbours
 from scquarry.plans.qc import metrics
 from scquarry.plans.statistics import vector_cells, vectors
 from scquarry.session import materialize, table
+from scquarry.streaming.totals import running_totals
 
 RESOLUTIONS = [0.2, 0.5, 1.0]
 
 
 def pca_spectrum(s: SparkSession, d: str) -> DataFrame:
-    _, stdev, _ = components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"), top=200, max_pcs=20)
+    _, stdev, _ = components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"))
     return s.createDataFrame([(i + 1, float(v)) for i, v in enumerate(stdev)], "pc int, stdev double")
 
 
 def pca_embedding(s: SparkSession, d: str) -> DataFrame:
-    return components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"), top=200, max_pcs=20)[0]
+    return components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"))[0]
 
 
 def libraries(s: SparkSession, d: str) -> DataFrame:
@@ -58,7 +59,7 @@ def indexed_neighbours(s: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "hvg_vst": lambda s, d: components.variable_genes(model.counts(s, d), model.cells(s, d).count(), 200),
+    "hvg_vst": lambda s, d: components.variable_genes(model.counts(s, d), model.cells(s, d).count()),
     "pca_spectrum": pca_spectrum,
     "pca_embedding": pca_embedding,
     "doublet_pann": lambda s, d: doublets.doublet_scores(model.counts(s, d), libraries(s, d)),
@@ -70,8 +71,9 @@ QUERIES = {
     "harmony_embedding": lambda s, d: integration.integrate(vectors(s, d), vector_cells(s, d), "sample"),
     "louvain_clusters": clusters,
     "subspace_overlap": overlap,
-    "umap_layout": lambda s, d: components.layout(pca_embedding(s, d)),
+    "umap_layout": lambda s, d: layout.umap_layout(vectors(s, d)),
+    "pca_layout": lambda s, d: components.layout(pca_embedding(s, d)),
     "knn_indexed": indexed_neighbours,
-    "event_totals": lambda s, d: rounded(table(s, d, "events").groupBy(F.col("user_id").alias("cell_id")).agg(F.sum("value").alias("ncount"), F.count(F.when(F.col("value") > 0, 1)).alias("nfeature")), 4),
+    "event_totals": lambda s, d: rounded(running_totals(table(s, d, "events").select(F.col("user_id").alias("cell_id"), "value")), 4),
 }
 SQL = {"event_totals": "SELECT user_id AS cell_id, round(sum(value), 4) AS ncount, count(*) FILTER (value > 0) AS nfeature FROM events GROUP BY 1"}

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scquarry.functions import stats
-from scquarry.kernels import ambient, communities, components, doublets, integration
+from scquarry.kernels import ambient, communities, components, doublets, integration, layout
 from scquarry.operators import graph, matrix, quality, review
 from scquarry.session import materialize
 
@@ -29,28 +30,33 @@ class Settings:
     seed: int = 42
 
 
-def quality_control(counts: DataFrame, cells: DataFrame, genes: DataFrame, families: dict[str, str], settings: Settings | None = None, removed_samples: tuple[str, ...] = (), kept_samples: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+def quality_control(counts: DataFrame, cells: DataFrame, genes: DataFrame, families: dict[str, str], settings: Settings | None = None, removed_samples: tuple[str, ...] = (), kept_samples: tuple[str, ...] = (),
+    score_doublets: Callable = doublets.doublet_scores, correct: Callable = ambient.correct_counts, observe: Callable[[str, DataFrame], None] = lambda name, df: None) -> dict[str, DataFrame]:
     """Metrics, filters, doublets and contamination: the tables of all three steps by name.
 
     counts: cell_id, gene_id, value; cells: cell_id, sample, library_id, cluster (any grouping of cells for the homotypic share);
     genes: gene_id and the flags of families. Libraries below doublet_min_cells are not evaluated: their cells stay only if their
-    sample is among kept_samples.
+    sample is among kept_samples. score_doublets and correct stand for other kernels with the same arguments and columns; observe
+    is told of each step's table by name.
     """
     s = settings or Settings()
     flags = genes.select("gene_id", *families.values())
     metrics = matrix.cell_totals(counts.join(flags, "gene_id"), cells, families)
     flagged = materialize(quality.flag_cells(metrics, s.thresholds, removed_samples), "flagged")
+    observe("flagged", flagged)
     retained = flagged.filter("retained")
     prevalence = materialize(matrix.gene_prevalence(counts, genes, s.gene_cells, retained), "prevalence")
     kept = materialize(quality.filter_cells_and_genes(counts, flagged, s.gene_cells), "kept")
-    scores = materialize(doublets.doublet_scores(kept, retained.select("cell_id", "library_id"), min_cells=s.doublet_min_cells, seed=s.seed), "scores")
+    scores = materialize(score_doublets(kept, retained.select("cell_id", "library_id"), min_cells=s.doublet_min_cells, seed=s.seed), "scores")
     expected = review.expected_doublets(review.homotypic_proportion(retained, "library_id", "cluster"), s.doublet_rate)
     called = review.call_doublets(scores, expected, "library_id").select("cell_id", "pann", "df", "df_adj")
     called = retained.join(called, "cell_id", "left").withColumns({c: F.coalesce(c, F.lit("NotEvaluated")) for c in ("df", "df_adj")})
     called = materialize(called, "called")
+    observe("called", called)
     singlets = review.accepted_singlets(called, kept_samples)
     single = materialize(kept.join(singlets.select("cell_id"), "cell_id", "left_semi"), "singlets")
-    corrected = materialize(ambient.correct_counts(single, singlets.select("cell_id", "library_id", "cluster")), "corrected")
+    corrected = materialize(correct(single, singlets.select("cell_id", "library_id", "cluster")), "corrected")
+    observe("corrected", corrected)
     after = corrected.groupBy("cell_id").agg(F.sum("value").alias("corrected"), F.first("contamination").alias("contamination"))
     review_cells = singlets.join(after, "cell_id").withColumnRenamed("ncount", "original")
     return {
@@ -89,6 +95,7 @@ def formal_analysis(counts: DataFrame, cells: DataFrame, batch: str | None, sett
     eligible = design.filter("selected AND decision = 'ELIGIBLE'").count() > 0
     chosen = materialize(integration.integrate(vectors, cells, batch, seed=s.seed), "integrated") if eligible else vectors
     nn = materialize(graph.neighbour_graph(chosen, s.neighbours), "nn")
+    nn_before = materialize(graph.neighbour_graph(vectors, s.neighbours), "nn") if eligible else nn
     snn = materialize(graph.shared_neighbours(nn), "snn")
     clusters = materialize(communities.communities(snn, chosen.select("cell_id"), list(s.resolutions), s.seed), "clusters")
     sizes = review.cluster_sizes(clusters)
@@ -99,9 +106,11 @@ def formal_analysis(counts: DataFrame, cells: DataFrame, batch: str | None, sett
         "associations": associations,
         "design": design,
         "representation": chosen,
-        "layout": components.layout(chosen),
+        "layout": layout.umap_layout(chosen, seed=s.seed),
+        "layout_before": layout.umap_layout(vectors, seed=s.seed),
         "nn": nn,
         "snn": snn,
+        "mixing_before": graph.same_label_fraction(nn_before, cells, [f for f in ("sample", "grp", "batch") if f in cells.columns]),
         "mixing": graph.same_label_fraction(nn, cells, [f for f in ("sample", "grp", "batch") if f in cells.columns]),
         "clusters": clusters,
         "cluster_sizes": sizes,
