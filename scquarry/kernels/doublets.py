@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scquarry.session import materialize
@@ -13,116 +16,148 @@ from scquarry.session import materialize
 PN, COMPONENTS, GENES = 0.25, 10, 500
 PKS = (0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3)
 PNS = (0.15, 0.25, 0.35)
-#: Cells of a library that are scored together; larger ones are cut into parts by a hash of the cell.
-LIBRARY_CELLS = 20_000
-
+#: Cells of a library that are made dense together (about), and those whose neighbours are sought together.
+BLOCK_CELLS, QUERY_CELLS = 2000, 10_000
+#: Distances that a task holds at once.
+DISTANCES = 1 << 24
 
-def bimodality(x: np.ndarray) -> float:
-    """Sarle's coefficient of a sample, from its skewness and kurtosis; nan without variation."""
-    n, d = len(x), x - x.mean()
-    s = d.std()
-    if n < 4 or s < 1e-12:
-        return float("nan")
-    g = (d**3).mean() / s**3 * np.sqrt(n * (n - 1)) / (n - 2)
-    k = ((n - 1) / ((n - 2) * (n - 3))) * ((n + 1) * ((d**4).mean() / s**4 - 3) + 6)
-    return float((g * g + 1) / (k + 3 * (n - 1) ** 2 / ((n - 2) * (n - 3))))
 
+def artificial(n: int, pn: float) -> int:
+    """The artificial cells that make up pn of all beside n real ones."""
+    return max(1, round(n / (1 - pn) - n))
 
-def neighbour_shares(counts: np.ndarray, pn: float, pks: tuple[float, ...], seed: int) -> np.ndarray:
-    """Per real cell (row of counts) and pk the share of artificial cells among its nearest pk * all cells.
-
-    An artificial cell is the mean of two real ones. All are normalized, reduced to the most variable genes and principal
-    components, and compared in blocks.
-    """
-    n = len(counts)
-    rng = np.random.default_rng(seed)
-    m = max(1, int(round(n / (1 - pn) - n)))
-    pairs = rng.integers(0, n, (m, 2))
-    x = np.empty((n + m, counts.shape[1]), counts.dtype)
-    x[:n] = counts
-    for at in range(0, m, 4096):
-        i, j = pairs[at : at + 4096].T
-        x[n + at : n + at + len(i)] = (counts[i] + counts[j]) / 2
-    x *= (1e4 / np.maximum(x.sum(axis=1, keepdims=True), 1e-12)).astype(x.dtype)
-    np.log1p(x, out=x)  # in place: this is a task's largest table
-    use = np.argsort(-x[:n].var(axis=0), kind="stable")[:GENES]
-    x = x[:, use]
-    x = (x - x[:n].mean(axis=0)) / np.maximum(x[:n].std(axis=0), 1e-9)
-    _, vectors = np.linalg.eigh(x[:n].T @ x[:n])
-    z = x @ vectors[:, ::-1][:, : min(COMPONENTS, x.shape[1])]
-    ks = [max(1, int(round(pk * len(z)))) for pk in pks]
-    out = np.zeros((n, len(pks)))
-    for at in range(0, n, 512):
-        q = z[at : min(at + 512, n)]
-        d = (q * q).sum(1)[:, None] - 2 * q @ z.T + (z * z).sum(1)[None, :]
-        d[np.arange(len(q)), np.arange(at, at + len(q))] = np.inf
-        near = np.argpartition(d, min(max(ks), len(z) - 1), axis=1)[:, : max(ks)]
-        near = np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(axis=1, kind="stable"), 1)
-        artificial = np.cumsum(near >= n, axis=1)
-        for j, k in enumerate(ks):
-            out[at : at + len(q), j] = artificial[:, k - 1] / k
-    return out
 
+def dense(p: pd.DataFrame, mean: np.ndarray, sd: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's cells (cell_id, total, i, x: places and counts of the genes chosen): the real and the artificial ones, normalized
+    and standardized. An artificial cell is the mean of two real ones of the block, which is a random part of its library."""
+    p = p.sort_values("cell_id")
+    x = np.zeros((len(p), len(mean)))
+    for row, (i, v) in enumerate(zip(p["i"], p["x"])):
+        x[row, np.asarray(i, int)] = v
+    total = p["total"].to_numpy(float)
+    pairs = np.random.default_rng([seed, int(p["_block"].iloc[0])]).integers(0, len(p), (artificial(len(p), max(PNS)), 2))
+    a, b = pairs.T
+    scale = lambda c, t: (np.log1p(1e4 * c / t[:, None]) - mean) / np.maximum(sd, 1e-9)
+    return scale(x, total), scale((x[a] + x[b]) / 2, (total[a] + total[b]) / 2)
 
-def dense(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Of a library's counts (cell_id, gene_id, value): its cells, and their counts of the genes that vary most."""
-    cells, row = np.unique(p["cell_id"].to_numpy(), return_inverse=True)
-    genes, col = np.unique(p["gene_id"].to_numpy(), return_inverse=True)
-    sums = np.bincount(col, p["value"].to_numpy(float))
-    squares = np.bincount(col, p["value"].to_numpy(float) ** 2)
-    keep = np.sort(np.argsort(-(squares / len(cells) - (sums / len(cells)) ** 2), kind="stable")[: 4 * GENES])
-    place = np.full(len(genes), -1)
-    place[keep] = np.arange(len(keep))
-    x = np.zeros((len(cells), len(keep)), np.float32)
-    ok = place[col] >= 0
-    x[row[ok], place[col[ok]]] = p["value"].to_numpy(float)[ok]
-    return cells, x
 
+def neighbour_shares(q: np.ndarray, own: np.ndarray, z: np.ndarray, ids: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """By row of q, share of artificial cells tried and neighbourhood tried: the share of artificial cells among the nearest ones.
 
-def sweep(x: np.ndarray, seed: int) -> np.ndarray:
-    """The bimodality of the shares by share of artificial cells tried and neighbourhood tried."""
-    return np.array([[bimodality(c) for c in neighbour_shares(x, pn, PKS, seed + i).T] for i, pn in enumerate(PNS)])
+    level tells from which share of PNS on a row of z is among the artificial cells; real cells have -1 and an id of ids.
+    """
+    out = np.zeros((len(q), len(PNS), len(PKS)))
+    for j in range(len(PNS)):
+        use = np.flatnonzero(level <= j)
+        x, made = z[use], level[use] >= 0
+        ks = [min(len(use) - 1, max(1, round(pk * len(use)))) for pk in PKS]
+        most, step = max(ks), max(1, DISTANCES // len(use))
+        for at in range(0, len(q), step):
+            b = q[at : at + step]
+            d = (b * b).sum(1)[:, None] - 2 * b @ x.T + (x * x).sum(1)[None, :]
+            d[own[at : at + step, None] == ids[use][None, :]] = np.inf
+            near = np.argpartition(d, most, axis=1)[:, :most] if most < len(use) else np.argsort(d, axis=1)[:, :most]
+            near = np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(axis=1, kind="stable"), 1)
+            found = np.cumsum(made[near], axis=1)
+            out[at : at + len(b), j] = np.stack([found[:, k - 1] / k for k in ks], axis=1)
+    return out
 
 
-def best_neighbourhood(bimodalities: np.ndarray) -> float:
-    """The neighbourhood whose bimodality is high and alike for all shares of artificial cells."""
-    with np.errstate(all="ignore"):
-        metric = bimodalities.mean(axis=0) / bimodalities.var(axis=0, ddof=1)
-    good = np.isfinite(metric)
-    return PKS[int(np.flatnonzero(good)[metric[good].argmax()])] if good.any() else PKS[3]
+def _vectors(column: pd.Series) -> np.ndarray:
+    return np.vstack([np.frombuffer(v, np.float64) for v in column])
 
 
-def doublet_scores(counts: DataFrame, libraries: DataFrame, library: str = "library_id", min_cells: int = 30, seed: int = 42, library_cells: int = LIBRARY_CELLS) -> DataFrame:
+def embedded(counts: DataFrame, libraries: DataFrame, library: str, min_cells: int, seed: int, block_cells: int) -> DataFrame:
+    """library, cell_id (null for artificial cells), level, z: the real and the artificial cells of libraries of min_cells or more in the
+    space of the library's components, which are those of its most variable genes, from sums over all its blocks."""
+    kind, kinds = counts.schema["cell_id"].dataType.simpleString(), libraries.schema[library].dataType.simpleString()
+    sizes = libraries.groupBy(library).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_cells)
+    block = F.pmod(F.xxhash64("cell_id", F.lit(seed)), F.ceil(F.col("_n") / float(block_cells))).cast("int")
+    parts = libraries.join(sizes, library).select("cell_id", F.col(library).alias("_lib"), block.alias("_block"))
+    rows = materialize(counts.filter("value > 0").join(parts, "cell_id").select("_lib", "_block", "cell_id", "gene_id", F.col("value").cast("double").alias("value")), "libraries")
+    totals = materialize(rows.groupBy("_lib", "_block", "cell_id").agg(F.sum("value").alias("total")), "totals")
+    data = F.log1p(1e4 * F.col("value") / F.col("total"))
+    m = rows.join(totals.select("cell_id", "_lib", "total"), ["cell_id", "_lib"]).groupBy("_lib", "gene_id").agg(F.sum(data).alias("s"), F.sum(data * data).alias("q"))
+    m = m.join(totals.groupBy("_lib").agg(F.count(F.lit(1)).alias("n")), "_lib").select("_lib", "gene_id", (F.col("s") / F.col("n")).alias("mean"), F.greatest(F.lit(0.0), F.col("q") / F.col("n") - F.pow(F.col("s") / F.col("n"), 2)).alias("v"))
+    place = F.row_number().over(W.partitionBy("_lib").orderBy(F.desc(F.round("v", 12)), "gene_id")) - 1  # one row per gene
+    genes = materialize(m.withColumn("place", place).filter(F.col("place") < GENES), "genes")
+    per_library = genes.groupBy("_lib").agg(F.array_sort(F.collect_list(F.struct("place", "mean", F.sqrt("v").alias("sd")))).alias("g")).select("_lib", F.col("g.mean").alias("mean"), F.col("g.sd").alias("sd"))
+    own = rows.join(genes.select("_lib", "gene_id", "place"), ["_lib", "gene_id"]).groupBy("_lib", "cell_id").agg(F.collect_list("place").alias("i"), F.collect_list("value").alias("x"))
+    empty = F.array().cast("array<int>"), F.array().cast("array<double>")
+    cells = totals.join(own, ["_lib", "cell_id"], "left").withColumns({"i": F.coalesce(F.col("i").cast("array<int>"), empty[0]), "x": F.coalesce("x", empty[1])})
+    cells = materialize(cells, "cells")
+    # one row per block: what its cells are standardized by
+    params = materialize(cells.select("_lib", "_block").distinct().join(per_library, "_lib"), "params")
+    key = ["_lib", "_block"]
+
+    def values(p: pd.DataFrame, q: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        return dense(p, np.asarray(q["mean"].iloc[0], float), np.asarray(q["sd"].iloc[0], float), seed)
+
+    def gram(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p):
+            return pd.DataFrame({"_lib": p["_lib"], "_part": [], "gram": []})
+        x, _ = values(p, q)
+        return pd.DataFrame({"_lib": p["_lib"].iloc[:1], "_part": int(p["_block"].iloc[0]) % 32, "gram": [(x.T @ x).tobytes()]})
+
+    def add(p: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(g, np.float64) for g in p["gram"])
+        return pd.DataFrame({"_lib": p["_lib"].iloc[:1], "_part": p["_part"].iloc[0], "gram": [total.tobytes()]})
+
+    def axes(p: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(g, np.float64) for g in p["gram"])
+        width = math.isqrt(len(total))
+        _, vectors = np.linalg.eigh(total.reshape(width, width))
+        return pd.DataFrame({"_lib": p["_lib"].iloc[:1], "axes": [np.ascontiguousarray(vectors[:, ::-1][:, :COMPONENTS]).tobytes()]})
+
+    sums = f"_lib {kinds}, _part int, gram binary"
+    grams = cells.groupBy(*key).cogroup(params.groupBy(*key)).applyInPandas(lambda p, q: gram(p, q), sums).groupBy("_lib", "_part").applyInPandas(add, sums)
+    loadings = materialize(grams.groupBy("_lib").applyInPandas(axes, f"_lib {kinds}, axes binary"), "axes")
+
+    def embed(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p):
+            return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "level": [], "z": []})
+        real, made = values(p, q)
+        v = np.frombuffer(q["axes"].iloc[0], np.float64).reshape(real.shape[1], -1)
+        level = np.digitize(np.arange(len(made)), [artificial(len(real), pn) for pn in PNS[:-1]])
+        z = np.vstack([real @ v, made @ v])
+        ids = pd.concat([p.sort_values("cell_id")["cell_id"].astype(object), pd.Series([None] * len(made), dtype=object)], ignore_index=True)
+        return pd.DataFrame({"_lib": p["_lib"].iloc[0], "cell_id": ids.astype("Int64") if kind in ("bigint", "int") else ids, "level": np.r_[np.full(len(real), -1), level], "z": [r.tobytes() for r in z]})
+
+    return materialize(cells.groupBy(*key).cogroup(params.join(loadings, "_lib").groupBy(*key)).applyInPandas(embed, f"_lib {kinds}, cell_id {kind}, level int, z binary"), "embedded")
+
+
+def doublet_scores(counts: DataFrame, libraries: DataFrame, library: str = "library_id", min_cells: int = 30, seed: int = 42, block_cells: int = BLOCK_CELLS, query_cells: int = QUERY_CELLS) -> DataFrame:
     """library, cell_id, pann, pk of the cells of libraries with min_cells or more; smaller ones are not evaluated.
 
-    libraries: cell_id and library. Each library is scored on its own. One with more cells than library_cells is cut into equal
-    parts by a hash of the cell, samples of the library, so that a library with a third of all cells makes many tasks: the
-    neighbourhood pk, a share of the cells, is chosen once for the library from all its parts, and the cells of each part are
-    compared with those and the artificial cells of the part.
+    libraries: cell_id and library. Genes, components and the neighbourhood pk are those of a whole library, from sums over its blocks;
+    artificial cells are made in each block of about block_cells random cells. Cells are compared with all cells of their library,
+    query_cells at a time, so that a library with a third of all cells makes many tasks and is scored by the same rules as any other;
+    a task holds the library's components (80 bytes a cell). pk is the one whose shares are bimodal alike for all shares of
+    artificial cells tried. Cells without counts have no score.
     """
-    sizes = libraries.groupBy(library).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_cells)
-    parts = libraries.join(sizes, library).withColumn("_part", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / float(library_cells))).cast("int"))
-    rows = counts.filter("value > 0").join(parts.select("cell_id", library, "_part"), "cell_id").select(library, "_part", "cell_id", "gene_id", "value")
-    rows = materialize(rows, "libraries")
+    z = embedded(counts, libraries, library, min_cells, seed, block_cells)
     kind, kinds = counts.schema["cell_id"].dataType.simpleString(), libraries.schema[library].dataType.simpleString()
-
-    def tried(p: pd.DataFrame) -> pd.DataFrame:
-        cells, x = dense(p)
-        return pd.DataFrame({library: p[library].iloc[0], "_cells": len(cells), "_bimodality": [sweep(x, seed).ravel().tolist()]})
-
-    def chosen(p: pd.DataFrame) -> pd.DataFrame:
-        b = np.stack(p["_bimodality"].to_numpy()).reshape(len(p), len(PNS), len(PKS))
-        w = p["_cells"].to_numpy(float)[:, None, None] * np.isfinite(b)
-        with np.errstate(all="ignore"):
-            b = (np.nan_to_num(b) * w).sum(axis=0) / w.sum(axis=0)
-        return pd.DataFrame({library: [p[library].iloc[0]], "_pk": [best_neighbourhood(b)]})
-
-    found = rows.groupBy(library, "_part").applyInPandas(tried, f"{library} {kinds}, _cells bigint, _bimodality array<double>")
-    pk = materialize(found.groupBy(library).applyInPandas(chosen, f"{library} {kinds}, _pk double"), "pk")  # one row per library
-
-    def score(p: pd.DataFrame) -> pd.DataFrame:
-        cells, x = dense(p)
-        pk = float(p["_pk"].iloc[0])
-        return pd.DataFrame({library: p[library].iloc[0], "cell_id": cells, "pann": neighbour_shares(x, PN, (pk,), seed)[:, 0], "pk": pk})
-
-    return rows.join(pk, library).groupBy(library, "_part").applyInPandas(score, f"{library} {kinds}, cell_id {kind}, pann double, pk double")
+    sizes = z.filter("level < 0").groupBy("_lib").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_cells))).cast("int").alias("_blocks"))  # one row per library
+    at = z.join(sizes, "_lib")
+    asked = at.filter("level < 0").withColumn("_q", F.pmod(F.xxhash64("cell_id"), F.col("_blocks")).cast("int")).select("_lib", "_q", "cell_id", "z")
+    base = at.withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select("_lib", "_q", "cell_id", "level", "z").toDF("lib", "q", "id", "level", "vector")
+
+    def shares(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if not len(p):
+            return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "shares": []})
+        s = neighbour_shares(_vectors(p["z"]), p["cell_id"].to_numpy(object), _vectors(q["vector"]), q["id"].to_numpy(object), q["level"].to_numpy())
+        return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "shares": s.reshape(len(p), -1).tolist()})
+
+    got = materialize(asked.groupBy("_lib", "_q").cogroup(base.groupBy("lib", "q")).applyInPandas(shares, f"_lib {kinds}, cell_id {kind}, shares array<double>"), "shares")
+    # Sarle's coefficient of every column of shares, from its skewness and kurtosis
+    n = F.col("n").cast("double")
+    g = F.col("g") * F.sqrt(n * (n - 1)) / (n - 2)
+    k = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("k") + 6)
+    b = got.select("_lib", F.posexplode("shares").alias("j", "x")).groupBy("_lib", "j").agg(F.count(F.lit(1)).alias("n"), F.skewness("x").alias("g"), F.kurtosis("x").alias("k"), F.stddev_pop("x").alias("sd"))
+    b = b.filter("n >= 4 AND sd > 1e-12").select("_lib", F.expr(f"j % {len(PKS)}").alias("pk"), ((g * g + 1) / (k + 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3)))).alias("b"))
+    metric = b.groupBy("_lib", "pk").agg((F.avg("b") / F.nullif(F.var_samp("b"), F.lit(0.0))).alias("metric")).filter("metric IS NOT NULL AND NOT isnan(metric)")
+    best = metric.groupBy("_lib").agg(F.max_by("pk", F.struct("metric", -F.col("pk"))).alias("best"))
+    found = got.join(best, "_lib", "left").withColumn("best", F.coalesce("best", F.lit(3)))
+    pks = F.array(*[F.lit(p) for p in PKS])
+    pann = F.element_at("shares", (F.lit(PNS.index(PN) * len(PKS) + 1) + F.col("best")).cast("int"))
+    return found.select(F.col("_lib").alias(library), "cell_id", pann.alias("pann"), F.element_at(pks, (F.col("best") + 1).cast("int")).alias("pk"))

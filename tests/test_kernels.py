@@ -57,8 +57,11 @@ def test_doublets(spark, counts, cells):
     df, _ = counts
     got = doublets.doublet_scores(df, cells, min_cells=30).toPandas()
     assert len(got) == 160 and got["pann"].between(0, 1).all() and got["cell_id"].is_unique
-    cut = doublets.doublet_scores(df, cells, min_cells=30, library_cells=50).toPandas()
-    assert len(cut) == 160
+    # however many tasks search, the scores are the same
+    cut = doublets.doublet_scores(df, cells, min_cells=30, query_cells=13).toPandas()
+    both = got.merge(cut, on=["library_id", "cell_id"], suffixes=("", "_cut"))
+    assert len(cut) == len(both) == 160 and np.allclose(both["pann"], both["pann_cut"]) and (both["pk"] == both["pk_cut"]).all()
+    assert len(doublets.doublet_scores(df, cells, min_cells=30, block_cells=20).toPandas()) == 160
     assert doublets.doublet_scores(df, cells, min_cells=100).count() == 0
 
 
