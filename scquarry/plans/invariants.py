@@ -121,6 +121,24 @@ def layout_check(s: SparkSession, d: str) -> DataFrame:
     return got.agg(F.count(F.lit(1)).alias("cells"), F.countDistinct("cell_id").alias("ids"), F.count(F.when(~finite, 1)).alias("not_finite"), F.lit(near < other).alias("nearer"))
 
 
+def recall_check(s: SparkSession, d: str) -> DataFrame:
+    """Queries of the inverted file, and whether it finds the stated share of their true neighbours."""
+    v = vectors(s, d)
+    asked = v.filter("cell_id % 50 = 0")
+    true = graph.nearest(asked, v, kernels.K).select("src", "dst")
+    hit = true.join(graph.nearest_indexed(v, kernels.K, queries=asked).select("src", "dst"), ["src", "dst"], "left_semi").count()
+    return s.createDataFrame([(asked.count(), hit >= graph.RECALL * true.count())], "queries bigint, reached boolean")
+
+
+def overlap_check(s: SparkSession, d: str) -> DataFrame:
+    """The overlap of a space with itself in another basis, and whether those with other spaces are shares."""
+    v = vectors(s, d)
+    turned = v.select("cell_id", F.transform(F.reverse(F.slice("vec", 1, 16)), lambda x: x * 3.0).alias("vec"))
+    other = v.select("cell_id", F.slice("vec", 20, 16).alias("vec"))
+    x = components.subspace_overlap(v, other, 16)
+    return s.createDataFrame([(round(components.subspace_overlap(v, turned, 16), 6), 0 <= x < 1)], "same double, other boolean")
+
+
 def _order(column: str):
     from pyspark.sql import Window as W
 
@@ -136,6 +154,8 @@ QUERIES = {
     "integration_check": integration_check,
     "community_check": community_check,
     "layout_check": layout_check,
+    "recall_check": recall_check,
+    "overlap_check": overlap_check,
 }
 
 _C, _S = model.SQL_COUNTS, model.SQL_CELLS
@@ -155,4 +175,6 @@ FROM counts JOIN cells USING (cell_id) GROUP BY 1""",
     "integration_check": f"SELECT {_N} AS cells, {_N} AS ids, 0 AS other_length, 0 AS not_finite, true AS nearer",
     "community_check": f"SELECT unnest({kernels.RESOLUTIONS})::DOUBLE AS resolution, {_N} AS rows, {_N} AS cells, 0 AS without, true AS above_chance",
     "layout_check": f"SELECT {_N} AS cells, {_N} AS ids, 0 AS not_finite, true AS nearer",
+    "recall_check": "SELECT count(*) AS queries, true AS reached FROM embeddings WHERE vec_id % 50 = 0",
+    "overlap_check": "SELECT 1.0::DOUBLE AS same, true AS other",
 }

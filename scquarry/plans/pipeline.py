@@ -30,8 +30,18 @@ class Settings:
     seed: int = 42
 
 
-def quality_control(counts: DataFrame, cells: DataFrame, genes: DataFrame, families: dict[str, str], settings: Settings | None = None, removed_samples: tuple[str, ...] = (), kept_samples: tuple[str, ...] = (),
-    score_doublets: Callable = doublets.doublet_scores, correct: Callable = ambient.correct_counts, observe: Callable[[str, DataFrame], None] = lambda name, df: None) -> dict[str, DataFrame]:
+def quality_control(
+    counts: DataFrame,
+    cells: DataFrame,
+    genes: DataFrame,
+    families: dict[str, str],
+    settings: Settings | None = None,
+    removed_samples: tuple[str, ...] = (),
+    kept_samples: tuple[str, ...] = (),
+    score_doublets: Callable = doublets.doublet_scores,
+    correct: Callable = ambient.correct_counts,
+    observe: Callable[[str, DataFrame], None] = lambda name, df: None,
+) -> dict[str, DataFrame]:
     """Metrics, filters, doublets and contamination: the tables of all three steps by name.
 
     counts: cell_id, gene_id, value; cells: cell_id, sample, library_id, cluster (any grouping of cells for the homotypic share);

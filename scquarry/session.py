@@ -13,6 +13,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables that this driver has written.
+_WRITTEN: list[str] = []
+
 
 def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings that the tests and the bench use."""
@@ -36,6 +39,7 @@ def guard(spark: SparkSession) -> None:
 
     Spark 4.1 takes a union of equally partitioned inputs as partitioned likewise; with adaptive execution that can leave the
     groups of a later aggregation in two parts. Without the claim there is one more exchange in such plans, and right counts.
+    The setting holds for the whole session from then on, because results are lazy: plans made here run at any later time.
     """
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     ship(spark)
@@ -77,16 +81,26 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
-    This cuts the lineage and survives the loss of executors. The table is left to the folder's own cleaning, since lazy
-    results may read it at any later time.
+    This cuts the lineage and survives the loss of executors. The table stays until discard(), since lazy results may read it at
+    any later time.
     """
     spark = df.sparkSession
     guard(spark)
     path = f"{shared_dir(spark)}/scquarry-{name}-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> int:
+    """Delete the tables that this driver has written to the shared folder, once no result reads them any more; their number."""
+    jvm, done = spark.sparkContext._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the project's tables, by name."""
     guard(spark)

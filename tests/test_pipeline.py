@@ -41,6 +41,7 @@ def test_workflows(spark, data):
     assert rows(checks.embedding_violations(f["scores"], qc["final_cells"], 10)) == sorted([(r, 0) for r in ("LENGTH", "NOT_FINITE", "REPEATED", "CELL_WITHOUT_VECTOR", "UNKNOWN_CELL")], key=repr)
     assert {r[1] for r in rows(checks.clustering_violations(f["clusters"], qc["final_cells"], [0.3, 0.8]))} == {0}
     assert f["design"].filter("field = 'batch'").first()["decision"] == "ELIGIBLE"
+    assert f["layout"].count() == f["layout_before"].count() == n and f["mixing_before"].count() == f["mixing"].count() == 3
     truth = f["clusters"].filter("resolution = 0.3").join(qc["final_cells"].select("cell_id", F.col("cluster").alias("kind")), "cell_id").groupBy("cluster", "kind").count()
     assert truth.groupBy("cluster").agg(F.max("count").alias("m")).agg(F.sum("m")).first()[0] >= 0.97 * n
     again = pipeline.regression_review(qc["counts"], qc["final_cells"], f, "ncount", 0.3, s).first()
@@ -48,6 +49,18 @@ def test_workflows(spark, data):
     assert pipeline.regression_review(qc["counts"], qc["final_cells"], f, "absent", 0.3, s).first()["status"] == "SKIPPED_MISSING_METADATA"
 
 
+def test_other_kernels_and_an_observer(spark, data):
+    counts, cells, genes = data
+    s = pipeline.Settings(thresholds={"nfeature_min": 10, "nfeature_max": 140, "ncount_min": 50, "ncount_max": 1000, "pmt_max": 60, "phb_max": 10, "prp_max": 60}, doublet_min_cells=40)
+    seen = []
+    score = lambda kept, lib, min_cells, seed: lib.select("library_id", "cell_id", F.length("cell_id").cast("double").alias("pann"), F.lit(0.1).alias("pk"))
+    correct = lambda kept, c: kept.select("cell_id", "gene_id", (F.col("value") / 2).alias("value"), F.lit(0.5).alias("contamination"))
+    qc = pipeline.quality_control(counts, cells, genes, {"pmt": "mt", "phb": "hb", "prp": "rp"}, s, score_doublets=score, correct=correct, observe=lambda name, df: seen.append((name, df.count())))
+    assert [n for n, _ in seen] == ["flagged", "called", "corrected"] and seen[0][1] == 240
+    one = qc["contamination"].agg(F.sum("original_umi"), F.sum("corrected_umi")).first()
+    assert one[1] == one[0] / 2
+
+
 def test_frames(spark):
     points = spark.createDataFrame([("a", 0.0, 0.0), ("b", 10.0, 2.0)], "cell_id string, x double, y double")
     assert tuple(frames.limits(points).first()) == pytest.approx((-0.3, 10.3, -0.06, 2.06))

@@ -188,3 +188,15 @@ def test_atomic_json(tmp_path):
     with pytest.raises(TypeError):
         bundles.atomic_json(tmp_path / "a" / "x.json", {"k": object()})
     assert [p.name for p in (tmp_path / "a").iterdir()] == ["x.json"] and json.loads((tmp_path / "a" / "x.json").read_text())
+
+
+def test_written_tables_are_discarded(spark):
+    import os
+
+    from scquarry import session
+
+    kept, session._WRITTEN[:] = list(session._WRITTEN), []
+    session.materialize(spark.range(3), "x")
+    path = session._WRITTEN[0].removeprefix("file://")
+    assert os.path.isdir(path) and session.discard(spark) == 1 and not os.path.exists(path) and session.discard(spark) == 0
+    session._WRITTEN[:] = kept
