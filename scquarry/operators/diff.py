@@ -18,6 +18,8 @@ PARTS = 3
 #: Cells per part of a bucket's table; elements that a bucket is planned to decode (half of its cells: far below the load of
 #: 0.81 up to which three parts can be peeled); rounds with four times as many buckets for the buckets that fail.
 PART_CELLS, BUCKET_ELEMENTS, ROUNDS = 1024, 1536, 6
+#: Differing keys up to which they are sent to every task to fetch their rows (8 bytes each); more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
 #: The estimator's table: strata, cells per part of a stratum.
 STRATA, STRATUM_CELLS = 48, 32
 
@@ -205,7 +207,8 @@ def diff_copies(
     if order:  # keys are told apart by 128 bits here
         short = short.select(version, "_k", "_k2", "_h", _order_key(order, own).alias("_o")).groupBy(version, "_k", "_k2").agg(F.max_by("_h", "_o").alias("_h"))
     short = materialize(short.select(version, "_k", "_h"), "hashes")
-    wanted = hashed.join(differing_keys(short, version, sides), "_k", "left_semi")
+    differing = materialize(differing_keys(short, version, sides), "differing")
+    wanted = hashed.join(F.broadcast(differing) if differing.count() <= BROADCAST_KEYS else differing, "_k", "left_semi")
     if order:
         wanted = latest_rows(wanted, (version, "_k", *keys), order)
 
