@@ -211,6 +211,7 @@ def diff_copies(
     wanted = hashed.join(F.broadcast(differing) if differing.count() <= BROADCAST_KEYS else differing, "_k", "left_semi")
     if order:
         wanted = latest_rows(wanted, (version, "_k", *keys), order)
+    wanted = materialize(wanted, "differing")  # both sides are read from it
 
     def side(s: str, prefix: str) -> DataFrame:
         return wanted.filter(F.col(version) == s).select(F.col("_k").alias(f"{prefix}_k"), *[F.col(c).alias(prefix + c) for c in (*keys, *numeric, *text)])
