@@ -30,7 +30,6 @@ def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = B
     """
     also = also or {}
     counts = df.filter(finite(F.col(value))).groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n_equal"), *[a.alias(n) for n, a in also.items()])
-    counts = materialize(counts, "counts")  # read for the cuts and for what is cut
     cuts = counts.groupBy(*keys).agg(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
     same = lambda a, b: a.join(b.withColumnsRenamed({k: f"_k_{k}" for k in keys}), _same(keys), "inner").drop(*[f"_k_{k}" for k in keys])
     cut = same(counts, cuts).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scquarry.kernels.sums import matrix_of, partial_sums, table_of
+from scquarry.kernels.sums import matrix_of, partial_sums
 from scquarry.operators.matrix import gene_moments
 from scquarry.session import materialize
 
 #: Genes whose statistics may come to the driver, variable genes at most, span of the local fit, bound of scaled values.
 GENES, VARIABLE, SPAN, CLIP = 200_000, 2000, 0.3, 10.0
+#: Parts in which the genes' cross products are added up.
+GRAM_BLOCKS = 16
 
 
 def local_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float = SPAN) -> np.ndarray:
@@ -89,6 +91,9 @@ def principal_components(rows: DataFrame, width: int, n_components: int, covaria
     largest loading of a component is positive.
     """
     spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:  # few bytes, but much work: adaptive execution leaves them in fewer tasks than there are cores
+        rows = rows.repartition(cores)
     p = len(covariates) + 1
 
     def design(b: pa.RecordBatch) -> np.ndarray:
@@ -109,13 +114,17 @@ def principal_components(rows: DataFrame, width: int, n_components: int, covaria
     scale = np.where(sd > 1e-12, 1 / np.maximum(sd, 1e-12), 0.0)
     scaled = lambda b: np.minimum(residual(b) * scale, CLIP)
 
+    # rows of the table of cross products travel in blocks: few large sums instead of one per gene
+    step = -(-width // GRAM_BLOCKS)
+
     def cross(b):
         z = scaled(b)
-        return [*range(width), width], [*(z.T @ z), z.sum(axis=0)]
+        g = z.T @ z
+        return [*range(-(-width // step)), -1], [*(g[i : i + step].ravel() for i in range(0, width, step)), z.sum(axis=0)]
 
     g = partial_sums(rows, cross)
-    mean = g.pop(width) / n
-    c = (table_of(g, width, width) - n * np.outer(mean, mean)) / (n - 1)
+    mean = g.pop(-1) / n
+    c = (np.concatenate([g[i] for i in sorted(g)]).reshape(width, width) - n * np.outer(mean, mean)) / (n - 1)
     values, vectors = np.linalg.eigh(c)
     top = np.argsort(values)[::-1][:n_components]
     loadings = vectors[:, top]
@@ -140,6 +149,7 @@ def formal_pca(counts: DataFrame, totals: DataFrame, regress: str = "pmt", top:
 
     cells = totals.filter(F.col(regress).isNotNull()).select("cell_id", regress)
     n = cells.count()
+    counts = materialize(counts, "counts")  # read for the moments, the ranking and the values
     genes = variable_genes(counts, n, top)
     genes = materialize(genes, "hvg")
     width = genes.count()
