@@ -110,3 +110,18 @@ def umap_layout(vectors: DataFrame, landmarks: int = LANDMARKS, neighbours: int
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at[:, 0]), pa.array(at[:, 1]), pa.array(["umap"] * b.num_rows)], ["cell_id", "x", "y", "layout"])
 
     return rows.mapInArrow(run, schema)
+
+
+def diagnostic_layout(counts: DataFrame, totals: DataFrame, max_pcs: int = 20, top: int = 2000) -> DataFrame:
+    """A layout for plots only, of no more than max_pcs components of which nothing is regressed; nothing of it is kept."""
+    from scquarry.kernels import components
+    from scquarry.operators.matrix import log_normalize
+    from scquarry.session import materialize
+
+    cells = totals.select("cell_id")
+    n = cells.count()
+    genes = materialize(components.variable_genes(counts, n, top), "hvg")
+    width = genes.count()
+    rows = materialize(components.cell_rows(log_normalize(counts, totals), genes, cells), "cells")
+    vectors, _, _ = components.principal_components(rows, width, max(2, min(max_pcs, n - 1, width - 1)))
+    return umap_layout(vectors)

@@ -6,7 +6,7 @@ import importlib.util
 import re
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Columns that earlier analyses leave behind.
@@ -159,3 +159,63 @@ SOURCE = ("cell_id", "database", "sample", "grp", "group_name", "tissue", "disea
 def contract_columns(cells: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """cells with the columns of SOURCE (and extra) that they have: normalized values, components and clusters of others stay behind."""
     return cells.select(*[c for c in cells.columns if c in (*SOURCE, *extra)])
+
+
+def raw_object_violations(counts: DataFrame, cells: DataFrame, accession: str | None = None, manifest: Sequence[str] | None = None) -> DataFrame:
+    """rule, n for a freshly built object: the contract of counts and cells, cells named after their sample (sample_...), the identity
+    (orig_ident, if there) equal to the sample, one database, the accession, samples of the manifest only, and no columns of analyses."""
+    from scquarry.operators.matrix import contract_violations
+
+    spark = counts.sparkSession
+    one = lambda name, df: df.agg(F.lit(name).alias("rule"), F.count(F.lit(1)).alias("n"))
+    out = contract_violations(counts, cells).union(one("CELL_PREFIX", cells.filter(~F.coalesce(F.col("cell_id").startswith(F.concat("sample", F.lit("_"))), F.lit(False)))))
+    if "orig_ident" in cells.columns:
+        out = out.union(one("OTHER_IDENTITY", cells.filter(~F.col("orig_ident").eqNullSafe(F.col("sample")))))
+    if accession is not None:
+        out = out.union(one("OTHER_ACCESSION", cells.filter(~F.coalesce(F.col("database") == accession, F.lit(False)))))
+    if manifest is not None:
+        out = out.union(one("UNKNOWN_SAMPLE", cells.filter(~F.coalesce(F.col("sample").isin(*manifest), F.lit(False))).select("sample").distinct()))
+        seen = spark.createDataFrame([(m,) for m in manifest], "sample string")
+        out = out.union(one("SAMPLE_WITHOUT_CELLS", seen.join(cells.select("sample").distinct(), "sample", "left_anti")))
+    derived = sum(bool(re.search(DERIVED, c)) for c in cells.columns)
+    return out.union(spark.createDataFrame([("DERIVED_COLUMNS", derived)], "rule string, n bigint"))
+
+
+def emptied_samples(flagged: DataFrame) -> list[str]:
+    """Samples that lose all their cells, though they aren't removed as a whole; filtering them is an error."""
+    lost = flagged.groupBy("sample").agg(F.bool_or("retained").alias("kept"), F.bool_and("removed_sample").alias("removed")).filter("NOT kept AND NOT removed")
+    return [r["sample"] for r in lost.orderBy("sample").collect()]
+
+
+def config_rows(spark: SparkSession, config: dict) -> DataFrame:
+    """Settings as rows of a report: section CONFIG, the path of each value as its metric, lists joined by semicolons."""
+    rows: list[tuple] = []
+
+    def walk(prefix: str, v) -> None:
+        if isinstance(v, dict):
+            for k, x in v.items():
+                walk(f"{prefix}.{k}" if prefix else str(k), x)
+        else:
+            rows.append(("CONFIG", "", prefix, ";".join(map(str, v)) if isinstance(v, (list, tuple)) else str(v), "PASS", ""))
+
+    walk("", config)
+    return spark.createDataFrame(rows, "section string, sample string, metric string, value string, status string, note string")
+
+
+def resolved_gates(issues: DataFrame, verified: bool, historical: Sequence[str]) -> DataFrame:
+    """issues (category, class) with gates of earlier steps (historical categories) RESOLVED once the final object is verified, not before."""
+    gate = F.col("category").isin(*historical) & (F.col("class") == "ACTION_REQUIRED") & F.lit(verified)
+    return issues.withColumn("class", F.when(gate, "RESOLVED").otherwise(F.col("class")))
+
+
+def suffix_mapping(cells: DataFrame, n_samples: int, evidence: str | None = None) -> str:
+    """Whether barcode suffixes (-1, -2, ...) may tell samples apart: NO_SUFFIXES, COUNT_DIFFERS, EVIDENCE_REQUIRED or MAPPED.
+
+    As many suffixes as samples aren't enough: which is which must be said by evidence.
+    """
+    groups = cells.select(F.regexp_extract("cell_id", r"-(\d+)$", 1).alias("s")).filter("s <> ''").distinct().count()
+    if not groups:
+        return "NO_SUFFIXES"
+    if groups != n_samples:
+        return "COUNT_DIFFERS"
+    return "MAPPED" if evidence and evidence.strip() else "EVIDENCE_REQUIRED"

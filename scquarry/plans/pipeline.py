@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scquarry.functions import stats
 from scquarry.kernels import ambient, communities, components, doublets, integration, layout
-from scquarry.operators import graph, matrix, quality, review
+from scquarry.operators import checks, graph, matrix, quality, review
 from scquarry.session import materialize
 
 
@@ -54,6 +54,8 @@ def quality_control(
     metrics = matrix.cell_totals(counts.join(flags, "gene_id"), cells, families)
     flagged = materialize(quality.flag_cells(metrics, s.thresholds, removed_samples), "flagged")
     observe("flagged", flagged)
+    if lost := checks.emptied_samples(flagged):
+        raise ValueError("the rules leave no cells of samples: " + ", ".join(map(str, lost)))
     retained = flagged.filter("retained")
     prevalence = materialize(matrix.gene_prevalence(counts, genes, s.gene_cells, retained), "prevalence")
     kept = materialize(quality.filter_cells_and_genes(counts, flagged, s.gene_cells), "kept")

@@ -171,3 +171,83 @@ def verify_widths(spark: SparkSession, path: str | Path, cells: DataFrame, delim
 def built(counts: DataFrame, genes: DataFrame, cells: DataFrame) -> dict[str, int]:
     """What a build gave: genes, cells and nonzero entries."""
     return {"genes": genes.select("gene_id").distinct().count(), "cells": cells.select("cell_id").distinct().count(), "nonzero": counts.filter("value <> 0").count()}
+
+
+def storage_inventory(spark: SparkSession, root: str | Path) -> DataFrame:
+    """path, bytes, changed of every file below root, listed by Spark without reading any."""
+    seen = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(root))
+    return seen.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("changed"))
+
+
+def total_bytes(spark: SparkSession, root: str | Path) -> int:
+    return storage_inventory(spark, root).agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("t")).first()["t"]
+
+
+def verified_reference(entries: Sequence[dict], root: str | Path) -> Path:
+    """The one registered file (path, sha256) that exists and has its hash; none, or two that differ, is an error."""
+    from scquarry.sources.routing import safe_path
+
+    found = [(safe_path(root, e["path"]), e["sha256"]) for e in entries]
+    good = [(p, h) for p, h in found if p.is_file() and sha256(p) == h]
+    if len({h for _, h in good}) != 1:
+        raise ValueError("no reference, or several that differ")
+    return good[0][0]
+
+
+def dataset_root(candidates: Sequence[str | Path]) -> Path:
+    """The folder of a dataset among its possible places; the first if there is none yet; two that exist are an error."""
+    there = [Path(p) for p in candidates if Path(p).is_dir()]
+    if len(there) > 1:
+        raise ValueError("two folders of one dataset: " + ", ".join(map(str, there)))
+    return there[0] if there else Path(candidates[0])
+
+
+def log_line(path: str | Path, text: str) -> None:
+    """Append a line with the time of now to a log."""
+    from datetime import datetime
+
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with Path(path).open("a", encoding="utf-8") as f:
+        f.write(f"{datetime.now().astimezone().isoformat(timespec='seconds')} {text}\n")
+
+
+def expand_report(rows: DataFrame, constants: dict[str, str]) -> DataFrame:
+    """A report of samples with the fields that all samples of a pooled input share; a field that a row has keeps its value."""
+    for c, v in constants.items():
+        own = F.when(F.trim(F.col(c)) != "", F.col(c)) if c in rows.columns else F.lit(None).cast("string")
+        rows = rows.withColumn(c, F.coalesce(own, F.lit(v)))
+    return rows
+
+
+def write_audit(audit: DataFrame, warnings: DataFrame, folder: str | Path, inputs: dict[str, str]) -> dict:
+    """An audit as two CSV files, a summary in JSON and a page in Markdown; inputs are the hashes of what was audited.
+
+    The same inputs give the version that is there (saved_version()); the summary counts rows and warnings by category and status.
+    """
+    import hashlib
+
+    from scquarry.sources.bundles import write_table
+
+    folder = Path(folder)
+    folder.mkdir(parents=True, exist_ok=True)
+    names = ("workflow_audit.csv", "workflow_warnings.csv", "audit_summary.json", "audit.md")
+    identity = hashlib.sha256(json.dumps(inputs, sort_keys=True).encode()).hexdigest()
+    if saved_version(folder, identity, names):
+        return json.loads((folder / "audit_summary.json").read_text(encoding="utf-8"))
+    write_table(audit, folder / names[0], audit.columns)
+    write_table(warnings, folder / names[1], warnings.columns)
+    kinds = [r.asDict() for r in warnings.groupBy("category", "status").agg(F.count(F.lit(1)).alias("n")).orderBy("category", "status").collect()]
+    summary = {"rows": audit.count(), "warnings": kinds, "identity": identity}
+    atomic_json(folder / names[2], summary)
+    lines = ["# Audit", "", f"{summary['rows']} rows of {len(inputs)} files.", "", "| category | status | warnings |", "|-|-|-|", *(f"| {k['category']} | {k['status']} | {k['n']} |" for k in kinds), ""]
+    _put(folder / names[3], "\n".join(lines))
+    atomic_json(folder / "audit_inputs.json", {"identity": identity, "outputs": {n: sha256(folder / n) for n in names}})
+    return summary
+
+
+def sample_report(rows: Sequence[dict], status: str) -> str:
+    """A text for people: the status, then each sample with its fields that aren't blank."""
+    out = [status, ""]
+    for r in rows:
+        out += [str(r["sample"]), *(f"  {k}: {v}" for k, v in r.items() if k != "sample" and str(v or "").strip()), ""]
+    return "\n".join(out)

@@ -175,3 +175,28 @@ def propose_input(sample: str, urls: Sequence[str]) -> dict:
     if len(usable) != 1:
         raise ValueError("no single input for " + sample)
     return {"file_type": file_type(usable[0]), "files_json": json.dumps([{"url": usable[0]}])}
+
+
+def enforce_single_cell(fields: dict[str, Sequence[str]]) -> None:
+    """Stop before anything is built where a series isn't of single cells."""
+    if not is_single_cell(fields):
+        raise ValueError("the series is not of single cells: nothing is built")
+
+
+def required_routes(rows: Sequence[dict], native: bool = True) -> list[str]:
+    """What must be there to read the inputs of a manifest: nothing for trios, text and Parquet, else the route of their kind; with native
+    readers of this engine only."""
+    kinds = {r["file_type"] for r in rows}
+    routes = {"10x_h5": "hdf5", "h5ad": "hdf5", "rds": "r_objects"}
+    unknown = kinds - {"10x_mtx", "text", *routes}
+    if unknown:
+        raise ValueError("unknown kinds: " + ", ".join(sorted(unknown)))
+    needed = sorted({routes[k] for k in kinds if k in routes})
+    return needed if native else ["external"] if kinds else []
+
+
+def safe_name(name: str) -> str:
+    """A dataset's name that is safe as a folder's: letters, digits, dots, hyphens and underscores, a letter or digit first."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", name or "") or ".." in name:
+        raise ValueError(f"unsafe name: {name}")
+    return name

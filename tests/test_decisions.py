@@ -222,3 +222,64 @@ def test_final_diagnostics_of_nothing(spark):
     cells = spark.createDataFrame([], "cell_id string, sample string, ncount double")
     empty = review.final_diagnostics(spark.createDataFrame([], "cell_id string, gene_id string, data double"), spark.createDataFrame([], "cell_id string, resolution double, cluster string"), cells, spark.createDataFrame([], "gene_id string"), spark.createDataFrame([("m",)], "marker string"), 0.4)
     assert rows(empty["markers"]) == [("m", "MARKER_ABSENT")] and empty["sizes"].count() == empty["composition"].count() == empty["distributions"].count() == 0
+
+
+def test_storage_and_audits(spark, tmp_path):
+    (tmp_path / "d" / "e").mkdir(parents=True)
+    (tmp_path / "d" / "a.bin").write_bytes(b"123")
+    (tmp_path / "d" / "e" / "b.bin").write_bytes(b"4567")
+    assert files.storage_inventory(spark, tmp_path / "d").count() == 2 and files.total_bytes(spark, tmp_path / "d") == 7
+    entries = [{"path": "d/a.bin", "sha256": files.sha256(tmp_path / "d" / "a.bin")}, {"path": "d/none", "sha256": "0"}]
+    assert files.verified_reference(entries, tmp_path).name == "a.bin"
+    with pytest.raises(ValueError):
+        files.verified_reference(entries[1:], tmp_path)
+    assert files.dataset_root([tmp_path / "x", tmp_path / "d"]) == tmp_path / "d" and files.dataset_root([tmp_path / "x"]) == tmp_path / "x"
+    with pytest.raises(ValueError):
+        files.dataset_root([tmp_path, tmp_path / "d"])
+    files.log_line(tmp_path / "l" / "x.log", "one")
+    files.log_line(tmp_path / "l" / "x.log", "two")
+    assert [x.split(" ", 1)[1] for x in (tmp_path / "l" / "x.log").read_text().splitlines()] == ["one", "two"]
+    report = spark.createDataFrame([("A", " "), ("B", "own")], "sample string, disease string")
+    assert rows(files.expand_report(report, {"disease": "HCC", "site": "liver"})) == [("A", "HCC", "liver"), ("B", "own", "liver")]
+    audit = spark.createDataFrame([("s", "m", "1")], "stage string, metric string, value string")
+    warn = spark.createDataFrame([("X", "WARNING"), ("X", "WARNING")], "category string, status string")
+    got = files.write_audit(audit, warn, tmp_path / "audit", {"a.csv": "h"})
+    assert got["warnings"] == [{"category": "X", "status": "WARNING", "n": 2}] and "| X | WARNING | 2 |" in (tmp_path / "audit" / "audit.md").read_text()
+    assert files.write_audit(audit.limit(0), warn, tmp_path / "audit", {"a.csv": "h"}) == got
+    (tmp_path / "audit" / "audit.md").write_text("changed")
+    with pytest.raises(ValueError):
+        files.write_audit(audit, warn, tmp_path / "audit", {"a.csv": "h"})
+    assert files.sample_report([{"sample": "A", "x": "1", "y": ""}], "READY") == "READY\n\nA\n  x: 1\n"
+
+
+def test_raw_objects_and_gates(spark):
+    from scquarry.sources import routing
+
+    counts = spark.createDataFrame([("A_1", "g", 1.0), ("B_1", "g", 2.0)], "cell_id string, gene_id string, value double")
+    cells = spark.createDataFrame([("A_1", "A", "x", "A", "D"), ("B_1", "B", "x", "B", "D")], "cell_id string, sample string, grp string, orig_ident string, database string")
+    broken = lambda *a, **kw: {r["rule"] for r in checks.raw_object_violations(*a, **kw).filter("n > 0").collect()}
+    assert broken(counts, cells, "D", ["A", "B"]) == set()
+    bad = cells.withColumn("orig_ident", F.lit("A")).withColumn("sample", F.lit("A")).withColumn("seurat_clusters", F.lit("1"))
+    assert broken(counts, bad, "E", ["B"]) == {"CELL_PREFIX", "OTHER_ACCESSION", "UNKNOWN_SAMPLE", "SAMPLE_WITHOUT_CELLS", "DERIVED_COLUMNS"}
+    assert "OTHER_IDENTITY" in broken(counts, cells.withColumn("orig_ident", F.lit(None).cast("string")))
+    flagged = spark.createDataFrame([("A", True, False), ("A", False, False), ("B", False, False), ("C", False, True)], "sample string, retained boolean, removed_sample boolean")
+    assert checks.emptied_samples(flagged) == ["B"]
+    assert rows(checks.config_rows(spark, {"a": {"b": 1, "c": [1, 2]}}).select("metric", "value")) == [("a.b", "1"), ("a.c", "1;2")]
+    issues = spark.createDataFrame([("QC", "ACTION_REQUIRED"), ("NEW", "ACTION_REQUIRED"), ("QC", "FAILED")], "category string, class string")
+    assert rows(checks.resolved_gates(issues, True, ["QC"])) == [("NEW", "ACTION_REQUIRED"), ("QC", "FAILED"), ("QC", "RESOLVED")]
+    assert rows(checks.resolved_gates(issues, False, ["QC"])) == rows(issues)
+    barcodes = spark.createDataFrame([("AC-1",), ("AG-2",), ("AT-2",)], "cell_id string")
+    assert [checks.suffix_mapping(barcodes, 2), checks.suffix_mapping(barcodes, 2, "said"), checks.suffix_mapping(barcodes, 3), checks.suffix_mapping(cells, 2)] == ["EVIDENCE_REQUIRED", "MAPPED", "COUNT_DIFFERS", "NO_SUFFIXES"]
+    routing.enforce_single_cell({"t": ["single cell RNA"]})
+    with pytest.raises(ValueError):
+        routing.enforce_single_cell({"t": ["bulk RNA"]})
+    assert routing.required_routes([{"file_type": "h5ad"}, {"file_type": "text"}]) == ["hdf5"] and routing.required_routes([{"file_type": "10x_mtx"}]) == []
+    assert routing.safe_name("GSE1.a-b") == "GSE1.a-b"
+    for name in ("", "../x", "a/b", ".a", "a..b"):
+        with pytest.raises(ValueError):
+            routing.safe_name(name)
+
+
+def test_diagnostic_layout(dataset):
+    counts, cells, _ = dataset
+    assert layout.diagnostic_layout(counts, matrix.cell_totals(counts, cells.select("cell_id")), 5, 20).count() == 60
