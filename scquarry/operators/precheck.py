@@ -88,7 +88,7 @@ def precheck(
     if species not in PATTERNS:
         doubt("CONFIG", "species", species, "Unsupported species")
     if "species" in cells.columns:
-        seen = sorted(str(r[0] or "").strip().lower() for r in cells.select("species").distinct().limit(10).collect())
+        seen = sorted(str(r[0] or "").strip().lower() for r in cells.select("species").distinct().orderBy("species").limit(10).collect())
         if seen != [species]:
             doubt("CONFIG", "species_metadata", ";".join(seen), "Species metadata conflicts with QC config")
     clues = [c for c in ("source_type", "modality", "technology") if c in cells.columns]
