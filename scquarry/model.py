@@ -22,11 +22,16 @@ GENES = T.StructType([T.StructField("gene_id", T.StringType(), False), T.StructF
 REPORT = T.StructType([T.StructField(c, T.StringType()) for c in ("section", "sample", "metric", "value", "status", "note")])
 
 
-def counts(spark: SparkSession, d: str) -> DataFrame:
-    """Customers stand in for cells, parts for genes, ordered quantities for counts."""
+def counts(spark: SparkSession, d: str, by: str | None = None) -> DataFrame:
+    """Customers stand in for cells, parts for genes, ordered quantities for counts.
+
+    by: cell_id or gene_id, whose rows are to lie together, so that later sums by it are small before they are shuffled.
+    """
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if by:
+        joined = joined.repartition({"cell_id": "o_custkey", "gene_id": "l_partkey"}[by])
     return joined.groupBy(F.col("o_custkey").alias("cell_id"), F.col("l_partkey").alias("gene_id")).agg(F.sum("l_quantity").alias("value"))
 
 

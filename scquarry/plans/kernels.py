@@ -12,19 +12,25 @@ from scquarry.plans.common import rounded
 from scquarry.plans.graphs import K, neighbours
 from scquarry.plans.qc import metrics
 from scquarry.plans.statistics import vector_cells, vectors
-from scquarry.session import materialize, table
+from scquarry.session import materialize, sent_if_small, table
 from scquarry.streaming.totals import running_totals
 
 RESOLUTIONS = [0.2, 0.5, 1.0]
 
 
+def formal_pca(s: SparkSession, d: str) -> tuple:
+    """Scores, standard deviations and loadings; the matrix is made once, by genes, for the metrics and for the components."""
+    counts = materialize(model.counts(s, d, "gene_id"), "counts")
+    return components.formal_pca(counts, materialize(metrics(s, d, counts), "metrics"))
+
+
 def pca_spectrum(s: SparkSession, d: str) -> DataFrame:
-    _, stdev, _ = components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"))
+    _, stdev, _ = formal_pca(s, d)
     return s.createDataFrame([(i + 1, float(v)) for i, v in enumerate(stdev)], "pc int, stdev double")
 
 
 def pca_embedding(s: SparkSession, d: str) -> DataFrame:
-    return components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"))[0]
+    return formal_pca(s, d)[0]
 
 
 def libraries(s: SparkSession, d: str) -> DataFrame:
@@ -35,7 +41,8 @@ def module_scores(s: SparkSession, d: str) -> DataFrame:
     """Two families of parts stand in for the genes of the phases."""
     genes = model.genes(s, d)
     sets = genes.filter("fam_hb").select(F.lit("S").alias("set_name"), "gene_id").union(genes.filter("gene_id % 40 = 11").select(F.lit("G2M"), "gene_id"))
-    data = materialize(matrix.log_normalize(model.counts(s, d), metrics(s, d)), "data")
+    counts = materialize(model.counts(s, d, "cell_id"), "counts")  # made once, by cells, for the metrics and the scores
+    data = matrix.log_normalize(counts, sent_if_small(materialize(metrics(s, d, counts), "metrics").select("cell_id", "ncount")))
     n = [r["count"] for r in sets.groupBy("set_name").count().collect()]
     return scores.cycle_phase(scores.module_scores(data, model.cells(s, d), genes, sets, scores.control_size(n, genes.count())))
 
@@ -59,7 +66,7 @@ def indexed_neighbours(s: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "hvg_vst": lambda s, d: components.variable_genes(model.counts(s, d), model.cells(s, d).count()),
+    "hvg_vst": lambda s, d: components.variable_genes(model.counts(s, d, "gene_id"), model.cells(s, d).count()),
     "pca_spectrum": pca_spectrum,
     "pca_embedding": pca_embedding,
     "doublet_pann": lambda s, d: doublets.doublet_scores(model.counts(s, d), libraries(s, d)),

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from scquarry import model
 from scquarry.operators import matrix, quality
 from scquarry.plans.common import rounded
+from scquarry.session import sent_if_small
 
 
-def metrics(spark: SparkSession, d: str) -> DataFrame:
+def metrics(spark: SparkSession, d: str, counts: DataFrame | None = None) -> DataFrame:
+    """Metrics of all cells; counts: the matrix, where it is stored already."""
     flags = model.genes(spark, d).select("gene_id", *model.FAMILIES.values())
-    return matrix.cell_totals(model.counts(spark, d).join(flags, "gene_id"), model.cells(spark, d), model.FAMILIES)
+    joined = model.counts(spark, d).join(flags, "gene_id") if counts is None else counts.join(sent_if_small(flags), "gene_id")
+    return matrix.cell_totals(joined, model.cells(spark, d), model.FAMILIES)
 
 
 def flagged(spark: SparkSession, d: str, removed: tuple[str, ...] = ()) -> DataFrame:

@@ -12,7 +12,10 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Rows of a table that may go to every executor (some 60 to 100 bytes each).
+SENT_ROWS = 2_000_000
 #: Paths of the tables that this driver has written.
 _WRITTEN: list[str] = []
 
@@ -82,14 +85,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage and survives the loss of executors. The table stays until discard(), since lazy results may read it at
-    any later time.
+    any later time. A table that materialize() gave is returned as it is. The shuffle files of what was written are of no use
+    then; Spark deletes them once the driver's JVM collects its garbage, which is asked for here, since it seldom would by itself.
     """
+    if getattr(df, "_scquarry_written", False):
+        return df
     spark = df.sparkSession
     guard(spark)
     path = f"{shared_dir(spark)}/scquarry-{name}-{os.getpid()}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scquarry_written = True
+    return out
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """df, to be sent to every executor where it has SENT_ROWS rows or fewer; joins with larger tables stay as they are."""
+    return F.broadcast(df) if df.limit(SENT_ROWS + 1).count() <= SENT_ROWS else df
 
 
 def discard(spark: SparkSession) -> int:
