@@ -18,3 +18,13 @@ def test_controls_are_drawn_without_pairs_of_genes(spark, gene):
         got = [tuple(r) for r in scores.control_genes(bins, some, control, 42).select("set_name", "gene_id").collect()]
         assert len(got) == len(set(got)) and set(got) == want
     assert "Window" not in scores.control_genes(bins, some, 300, 42)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_phase_check_makes_the_matrix_once(spark, monkeypatch):
+    from scquarry import model
+    from scquarry.plans import invariants
+
+    made, counts = [], model.counts
+    monkeypatch.setattr(model, "counts", lambda *a, **k: made.append(a) or counts(*a, **k))
+    n, no_scores, other = invariants.phase_check(spark, "/root/testdata/sf0.001").first()
+    assert len(made) == 1 and n == model.cells(spark, "/root/testdata/sf0.001").count() and no_scores == other == 0
