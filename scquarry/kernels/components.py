@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 
 from scquarry.kernels.sums import matrix_of, partial_sums
 from scquarry.operators.matrix import gene_moments
-from scquarry.session import materialize
+from scquarry.session import materialize, sent_if_small
 
-#: Genes whose statistics may come to the driver, variable genes at most, span of the local fit, bound of scaled values.
-GENES, VARIABLE, SPAN, CLIP = 200_000, 2000, 0.3, 10.0
+#: Variable genes at most, span of the local fit, bound of scaled values.
+VARIABLE, SPAN, CLIP = 2000, 0.3, 10.0
 #: Parts in which the genes' cross products are added up.
 GRAM_BLOCKS = 16
 
 
-def local_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float = SPAN) -> np.ndarray:
-    """Local quadratic regression of y on x with tricube weights, at the points of a grid, and linear in between."""
+def local_fit(x: np.ndarray, y: np.ndarray, span: float = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """Local quadratic regression of y on x with tricube weights: the points of a grid and the values there, linear in between."""
     order = np.argsort(x)
     x, y = x[order], y[order]
     k = max(4, int(np.ceil(span * len(x))))
@@ -33,29 +33,33 @@ def local_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float = SPAN)
         use = w > 0
         basis = np.vander(x[use] - g, 3, increasing=True) * w[use, None]
         fitted.append(np.linalg.lstsq(basis, y[use] * w[use], rcond=None)[0][0])
-    return np.interp(at, grid, fitted)
+    return grid, np.array(fitted)
 
 
 def variable_genes(counts: DataFrame, n_cells: int, top: int = VARIABLE) -> DataFrame:
     """The most variable genes: gene_id, mean, variance, standardized_variance, place (from 1; ties to the smaller id).
 
-    The variance expected at a gene's mean comes from a local fit over all genes (their moments come to the driver, GENES at
-    most); values are then standardized by it, clipped at sqrt(n_cells), and their variance, zeros included, ranks the genes.
+    The variance expected at a gene's mean comes from a local fit over all genes; values are then standardized by it, clipped at
+    sqrt(n_cells), and their variance, zeros included, ranks the genes. The driver gets two numbers a gene (16 bytes) for the fit,
+    whatever their number, and sends the values on the fit's grid; counts are written once and read twice.
     """
     spark = counts.sparkSession
-    m = gene_moments(counts, "value", F.lit(n_cells)).select("gene_id", "mean", "variance")
-    rows = m.limit(GENES + 1).collect()
-    if len(rows) > GENES:
-        raise ValueError("too many genes")
-    use = [r for r in rows if r["variance"] > 0 and r["mean"] > 0]
+    counts = materialize(counts, "counts")
+    m = materialize(gene_moments(counts, "value", F.lit(n_cells)).filter("variance > 0 AND mean > 0").select("gene_id", "mean", "variance"), "moments")
     kind = counts.schema["gene_id"].dataType.simpleString()
-    if not use:
+    both = m.select("mean", "variance").toArrow()
+    if not both.num_rows:
         return spark.createDataFrame([], f"gene_id {kind}, mean double, variance double, standardized_variance double, place int")
-    x, y = np.log10([r["mean"] for r in use]), np.log10([r["variance"] for r in use])
-    sd = np.sqrt(10 ** local_fit(x, y, x))
-    fit = spark.createDataFrame([(r["gene_id"], r["mean"], r["variance"], float(s)) for r, s in zip(use, sd)], f"gene_id {kind}, mean double, variance double, sd double")
+    grid, fitted = local_fit(*(np.log10(both.column(c).to_numpy()) for c in ("mean", "variance")))
+
+    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sd = np.sqrt(10 ** np.interp(np.log10(b.column(1).to_numpy(zero_copy_only=False)), grid, fitted))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sd)], ["gene_id", "mean", "variance", "sd"])
+
+    fit = materialize(m.mapInArrow(expected, f"gene_id {kind}, mean double, variance double, sd double"), "fit")
     z = F.least(F.lit(float(np.sqrt(n_cells))), (F.col("value") - F.col("mean")) / F.col("sd"))
-    s = counts.join(F.broadcast(fit) if len(use) <= 50_000 else fit, "gene_id").groupBy("gene_id").agg(F.count(F.lit(1)).alias("n"), F.sum(z * z).alias("q"), F.first("mean").alias("mean"), F.first("variance").alias("variance"), F.first("sd").alias("sd"))
+    s = counts.join(sent_if_small(fit), "gene_id").groupBy("gene_id").agg(F.count(F.lit(1)).alias("n"), F.sum(z * z).alias("q"), F.first("mean").alias("mean"), F.first("variance").alias("variance"), F.first("sd").alias("sd"))
     s = s.withColumn("standardized_variance", (F.col("q") + (n_cells - F.col("n")) * F.pow(F.col("mean") / F.col("sd"), 2)) / (n_cells - 1))
     from pyspark.sql import Window as W
 
@@ -153,7 +157,8 @@ def formal_pca(counts: DataFrame, totals: DataFrame, regress: str = "pmt", top:
     genes = variable_genes(counts, n, top)
     genes = materialize(genes, "hvg")
     width = genes.count()
-    rows = materialize(cell_rows(log_normalize(counts, totals), genes, cells), "cells")
+    chosen = counts.join(F.broadcast(genes.select("gene_id")), "gene_id", "left_semi")  # few values are left to be shuffled
+    rows = materialize(cell_rows(log_normalize(chosen, totals), genes, cells), "cells")
     return principal_components(rows, width, max(2, pc_cap(max_pcs, n, width, width + 1)), (regress,))
 
 

@@ -12,7 +12,6 @@ from scquarry.kernels.sums import matrix_of, partial_sums
 from scquarry.operators import graph, matrix, review
 from scquarry.plans import kernels
 from scquarry.plans.graphs import neighbours
-from scquarry.plans.qc import metrics
 from scquarry.plans.statistics import vector_cells, vectors
 from scquarry.session import materialize
 
@@ -23,7 +22,7 @@ def hvg_check(s: SparkSession, d: str) -> DataFrame:
     """Genes chosen, their places, and how many have other moments than the matrix, or a greater variance than the one before."""
     from pyspark.sql import Window as W
 
-    counts, n = model.counts(s, d), model.cells(s, d).count()
+    counts, n = materialize(model.counts(s, d, "gene_id"), "counts"), model.cells(s, d).count()
     got = materialize(components.variable_genes(counts, n), "hvg")
     exact = matrix.gene_moments(counts, "value", F.lit(n)).select("gene_id", F.col("mean").alias("m"), F.col("variance").alias("v"))
     other = got.join(exact, "gene_id", "left").filter(~F.coalesce((F.abs(F.col("mean") - F.col("m")) < 1e-9) & (F.abs(F.col("variance") - F.col("v")) < 1e-9), F.lit(False))).count()
@@ -33,7 +32,7 @@ def hvg_check(s: SparkSession, d: str) -> DataFrame:
 
 def pca_check(s: SparkSession, d: str) -> DataFrame:
     """Components of all variable genes: cells, components, and whether scores are centred, uncorrelated and spread as stated, loadings orthonormal."""
-    scores, stdev, loadings = components.formal_pca(model.counts(s, d), materialize(metrics(s, d), "metrics"))
+    scores, stdev, loadings = kernels.formal_pca(s, d)
 
     def moments(b):
         x = matrix_of(b.column(b.schema.names.index("vec")), b.num_rows)

@@ -5,6 +5,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scquarry.kernels import scores
+from scquarry.plans import catalog
+
+HOLDS = {
+    "hvg_check": {"genes": 2000, "places": 2000, "last_place": 2000, "other_moments": 0, "out_of_order": 0},
+    "pca_check": {"cells": 80, "components": 50, "centred": True, "uncorrelated": True, "orthonormal": True, "falling": True},
+}
 
 
 @pytest.mark.parametrize("gene", ["id", "string(id)", "concat('a gene whose name has more than 32 bytes: ', id)"])
@@ -28,3 +34,25 @@ def test_phase_check_makes_the_matrix_once(spark, monkeypatch):
     monkeypatch.setattr(model, "counts", lambda *a, **k: made.append(a) or counts(*a, **k))
     n, no_scores, other = invariants.phase_check(spark, "/root/testdata/sf0.001").first()
     assert len(made) == 1 and n == model.cells(spark, "/root/testdata/sf0.001").count() and no_scores == other == 0
+
+
+@pytest.fixture(scope="module")
+def many_genes(spark, tmp_path_factory):
+    """Tables of 201,000 parts (genes), 80 customers (cells) and three lines a part."""
+    d, n = str(tmp_path_factory.mktemp("many_genes")), 201_000
+    for t in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").filter("c_custkey < 80").write.parquet(f"{d}/customer.parquet")
+    i = F.col("id")
+    spark.range(n).select(i.alias("p_partkey"), F.concat(F.when(i % 9 == 0, "red ").otherwise("blue "), i).alias("p_name"), F.concat(F.lit("Brand#"), i % 20).alias("p_brand"), F.when(i % 5 == 0, "PROMO").otherwise("ECONOMY").alias("p_type")).write.parquet(f"{d}/part.parquet")
+    spark.range(80).select(i.alias("o_orderkey"), i.alias("o_custkey")).write.parquet(f"{d}/orders.parquet")
+    spark.range(3 * n).select(F.pmod(F.xxhash64("id"), F.lit(80)).alias("l_orderkey"), (i % n).alias("l_partkey"), (F.pmod(F.xxhash64(i + 1), F.lit(50)) + 1.0).alias("l_quantity")).write.parquet(f"{d}/lineitem.parquet")
+    return d
+
+
+@pytest.mark.parametrize("query, rows", [("hvg_check", 1)])
+def test_any_number_of_genes(spark, many_genes, query, rows):
+    got = catalog.QUERIES[query](spark, many_genes)
+    assert len(got.collect()) == rows
+    if query.endswith("_check"):
+        assert got.first().asDict().items() >= HOLDS[query].items()
