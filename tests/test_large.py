@@ -50,7 +50,7 @@ def many_genes(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("query, rows", [("hvg_check", 1), ("pca_embedding", 80), ("hvg_vst", 2000), ("pca_layout", 80), ("pca_check", 1)])
+@pytest.mark.parametrize("query, rows", [("hvg_check", 1), ("pca_embedding", 80), ("hvg_vst", 2000), ("pca_layout", 80), ("pca_check", 1), ("pca_spectrum", 50)])
 def test_any_number_of_genes(spark, many_genes, query, rows):
     got = catalog.QUERIES[query](spark, many_genes)
     assert len(got.collect()) == rows
