@@ -12,6 +12,8 @@ from scquarry.session import materialize
 
 #: Buckets of values into which each group is cut for ranking; a value with more than this part of all rows is a heavy tie.
 BUCKETS, HEAVY = 64, 1000
+#: Distinct values of a group that one task may sort; only groups with more are cut.
+SORTED = 100_000
 
 
 def finite(c: Column) -> Column:
@@ -19,17 +21,30 @@ def finite(c: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS, also: dict[str, Column] | None = None) -> DataFrame:
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS, also: dict[str, Column] | None = None, most: int = SORTED) -> DataFrame:
     """keys, value, n_equal, before (rows of the group with less) and n, one row per distinct finite value of a group.
 
     also names further aggregates of the rows of a value.
 
-    Equal values are counted before anything is sorted. A group is cut into buckets at approximate quantiles and the places in
-    a bucket are counted on from the sizes of those before it, so that no task sorts a whole group; the ranks are exact however
-    the cuts fall. Groups without finite values have no rows.
+    Equal values are counted before anything is sorted, and written once. A group of more than most distinct values is cut into
+    buckets at approximate quantiles and the places in a bucket are counted on from the sizes of those before it, so that no task
+    sorts more of a group; the ranks are exact however the cuts fall. The many small groups need no quantiles, whose memory and
+    joins would outgrow the values themselves. Groups without finite values have no rows.
     """
     also = also or {}
     counts = df.filter(finite(F.col(value))).groupBy(*keys, F.col(value).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n_equal"), *[a.alias(n) for n, a in also.items()])
+    counts = materialize(counts, "values")
+    along = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
+    upto = F.sum("n_equal").over(along.orderBy("value").rowsBetween(W.unboundedPreceding, 0))
+    whole = lambda df: df.select(*keys, "value", "n_equal", (upto - F.col("n_equal")).alias("before"), F.sum("n_equal").over(along).alias("n"), *also)
+    large = materialize(counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n"), "large")
+    if not large.count():
+        return whole(counts)
+    return whole(counts.join(large, _same(keys), "left_anti")).union(_cut_ranks(counts.join(large, _same(keys), "left_semi"), keys, buckets, also))
+
+
+def _cut_ranks(counts: DataFrame, keys: Sequence[str], buckets: int, also: dict[str, Column]) -> DataFrame:
+    """value_ranks() of groups too large for one task."""
     cuts = counts.groupBy(*keys).agg(F.percentile_approx("value", [i / buckets for i in range(1, buckets)], 1000).alias("_cuts"))
     same = lambda a, b: a.join(b.withColumnsRenamed({k: f"_k_{k}" for k in keys}), _same(keys), "inner").drop(*[f"_k_{k}" for k in keys])
     cut = same(counts, cuts).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
@@ -163,10 +178,12 @@ def rank_sum(df: DataFrame, keys: Sequence[str], value: str, inside: str, n_cell
         F.sum(F.pow("n_equal", F.lit(3)) - F.col("n_equal")).alias("_t"),
     )
     s = s.withColumns({c: F.lit(size[c]) for c in ("n_in", "n_out")})
-    n = F.col("n_in") + F.col("n_out")
+    # doubles: products of numbers of cells outgrow integers
+    n_in, n_out, nzi = (F.col(c).cast("double") for c in ("n_in", "n_out", "_nzi"))
+    n = n_in + n_out
     zeros = n - F.col("_nz")
-    rank = F.col("_s") + F.col("_nzi") * zeros + (F.col("n_in") - F.col("_nzi")) * (zeros + 1) / 2.0
-    u = rank - F.col("n_in") * (F.col("n_in") + 1) / 2.0
+    rank = F.col("_s") + nzi * zeros + (n_in - nzi) * (zeros + 1) / 2.0
+    u = rank - n_in * (n_in + 1) / 2.0
     tied = F.col("_t") + zeros * zeros * zeros - zeros
-    sd = F.sqrt(F.col("n_in") * F.col("n_out") / 12.0 * ((n + 1) - tied / (n * (n - 1.0))))
-    return s.select(*keys, "n_in", "n_out", u.alias("u"), F.when(sd > 0, (u - F.col("n_in") * F.col("n_out") / 2.0) / sd).alias("z"))
+    sd = F.sqrt(n_in * n_out / 12.0 * ((n + 1) - tied / (n * (n - 1.0))))
+    return s.select(*keys, "n_in", "n_out", u.alias("u"), F.when(sd > 0, (u - n_in * n_out / 2.0) / sd).alias("z"))

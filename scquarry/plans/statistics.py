@@ -10,7 +10,7 @@ from scquarry.functions import stats
 from scquarry.operators import evidence, matrix, review
 from scquarry.plans.common import rounded
 from scquarry.plans.qc import metrics
-from scquarry.session import table
+from scquarry.session import sent_if_small, table
 
 #: Clusterings of the vectors that stand in for resolutions: names and SQL of the label.
 RESOLUTIONS = {0.2: "label div 5", 0.5: "label div 2", 0.8: "label"}
@@ -76,7 +76,7 @@ def rank_sums(s: SparkSession, d: str) -> DataFrame:
     """Per gene the rank sum of the cells of one group against all others."""
     cells = model.cells(s, d).select("cell_id", (F.col("grp") == "ASIA").alias("inside"))
     n = cells.agg(F.count(F.when(F.col("inside"), 1)).alias("n_in"), F.count(F.when(~F.col("inside"), 1)).alias("n_out"))
-    return rounded(stats.rank_sum(model.counts(s, d).join(cells, "cell_id"), ["gene_id"], "value", "inside", n), 5)
+    return rounded(stats.rank_sum(model.counts(s, d, "gene_id").join(sent_if_small(cells), "cell_id"), ["gene_id"], "value", "inside", n), 5)
 
 
 def ari_stability(s: SparkSession, d: str) -> DataFrame:

@@ -56,3 +56,25 @@ def test_any_number_of_genes(spark, many_genes, query, rows):
     assert len(got.collect()) == rows
     if query.endswith("_check"):
         assert got.first().asDict().items() >= HOLDS[query].items()
+
+
+def test_rank_sum_of_many_cells(spark):
+    from scquarry.functions import stats
+
+    df = spark.createDataFrame([("g", 1.0, True), ("g", 2.0, False), ("g", 2.0, True)], "gene_id string, value double, inside boolean")
+    n = spark.createDataFrame([(3_000_000, 9_000_000)], "n_in bigint, n_out bigint")
+    r = stats.rank_sum(df, ["gene_id"], "value", "inside", n).first()
+    n_in, n_out, n, zeros = 3e6, 9e6, 12e6, 12e6 - 3
+    u = (zeros + 1) + (zeros + 2.5) + (n_in - 2) * (zeros + 1) / 2 - n_in * (n_in + 1) / 2
+    sd = (n_in * n_out / 12 * (n + 1 - (6 + zeros**3 - zeros) / (n * (n - 1)))) ** 0.5
+    assert r["u"] == u and r["z"] == pytest.approx((u - n_in * n_out / 2) / sd, rel=1e-6)
+
+
+def test_small_groups_are_ranked_without_quantiles(spark, monkeypatch):
+    from scquarry.functions import stats
+
+    df = spark.range(4000).select((F.col("id") % 3 * F.col("id") % 40).alias("k"), F.pmod(F.xxhash64("id"), F.lit(90)).cast("double").alias("x"))
+    got = lambda most: sorted(map(tuple, stats.value_ranks(df, ["k"], "x", 8, {"top": F.max("x")}, most).collect()))
+    cut, some = got(0), got(70)
+    monkeypatch.setattr(F, "percentile_approx", None)  # its states and joins outgrow the values of many small groups
+    assert cut == some == sorted(map(tuple, stats.value_ranks(df, ["k"], "x", 8, {"top": F.max("x")}).collect()))
