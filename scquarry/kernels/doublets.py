@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scquarry.session import materialize
+from scquarry.session import materialize, sent_if_small
 
 #: Share of artificial cells, components, genes, neighbourhoods tried (shares of all cells), shares of artificial cells tried.
 PN, COMPONENTS, GENES = 0.25, 10, 500
 PKS = (0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3)
 PNS = (0.15, 0.25, 0.35)
-#: Cells of a library that are made dense together (about), and those whose neighbours are sought together.
+#: Cells of a library that are made dense together (about), and points whose neighbours are sought together.
 BLOCK_CELLS, QUERY_CELLS = 2000, 10_000
-#: Distances that a task holds at once.
-DISTANCES = 1 << 24
+#: Distances that a task holds at once; points whose shares may go to every executor (some 400 bytes each).
+DISTANCES, SENT_POINTS = 1 << 24, 100_000
 
 
 def artificial(n: int, pn: float) -> int:
@@ -41,25 +41,31 @@ def dense(p: pd.DataFrame, mean: np.ndarray, sd: np.ndarray, seed: int) -> tuple
     return scale(x, total), scale((x[a] + x[b]) / 2, (total[a] + total[b]) / 2)
 
 
-def neighbour_shares(q: np.ndarray, own: np.ndarray, z: np.ndarray, ids: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """By row of q, share of artificial cells tried and neighbourhood tried: the share of artificial cells among the nearest ones.
+def neighbour_shares(own: np.ndarray, z: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """By point asked (places among z), share of artificial cells tried and neighbourhood tried: the share of artificial cells among
+    the cells nearest to a real one there.
 
-    level tells from which share of PNS on a row of z is among the artificial cells; real cells have -1 and an id of ids.
+    z holds distinct points; cells by point the real cells, then the artificial ones that come with each share of PNS. Where a
+    neighbourhood ends among cells equally far, these count as many of it as are missing, each kind by its part of them.
     """
-    out = np.zeros((len(q), len(PNS), len(PKS)))
-    for j in range(len(PNS)):
-        use = np.flatnonzero(level <= j)
-        x, made = z[use], level[use] >= 0
-        ks = [min(len(use) - 1, max(1, round(pk * len(use)))) for pk in PKS]
-        most, step = max(ks), max(1, DISTANCES // len(use))
-        for at in range(0, len(q), step):
-            b = q[at : at + step]
-            d = (b * b).sum(1)[:, None] - 2 * b @ x.T + (x * x).sum(1)[None, :]
-            d[own[at : at + step, None] == ids[use][None, :]] = np.inf
-            near = np.argpartition(d, most, axis=1)[:, :most] if most < len(use) else np.argsort(d, axis=1)[:, :most]
-            near = np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(axis=1, kind="stable"), 1)
-            found = np.cumsum(made[near], axis=1)
-            out[at : at + len(b), j] = np.stack([found[:, k - 1] / k for k in ks], axis=1)
+    made = np.cumsum(cells[:, 1:], axis=1)
+    every = cells[:, :1] + made
+    ks = [np.array([min(n - 1, max(1, round(pk * n))) for pk in PKS]) for n in every.sum(axis=0).tolist()]
+    half, step, none = (z * z).sum(1) / 2, max(1, DISTANCES // len(z)), np.zeros((1, len(PNS)), int)
+    out = np.zeros((len(own), len(PNS), len(PKS)))
+    for at in range(0, len(own), step):
+        b = own[at : at + step]
+        far = half - z[b] @ z.T  # grows with the distance
+        far[np.arange(len(b)), b] = -np.inf
+        for row, d in enumerate(far):
+            order = np.argsort(d)
+            d, n = d[order], every[order]
+            n[0] -= 1  # the cell that asks
+            n, m = np.vstack([none, n.cumsum(axis=0)]), np.vstack([none, made[order].cumsum(axis=0)])
+            for j, k in enumerate(ks):
+                edge = d[np.searchsorted(n[1:, j], k)]
+                lo, hi = np.searchsorted(d, edge, "left"), np.searchsorted(d, edge, "right")
+                out[at + row, j] = (m[lo, j] + (k - n[lo, j]) * (m[hi, j] - m[lo, j]) / (n[hi, j] - n[lo, j])) / k
     return out
 
 
@@ -79,8 +85,8 @@ def embedded(counts: DataFrame, libraries: DataFrame, library: str, min_cells: i
     data = F.log1p(1e4 * F.col("value") / F.col("total"))
     m = rows.join(totals.select("cell_id", "_lib", "total"), ["cell_id", "_lib"]).groupBy("_lib", "gene_id").agg(F.sum(data).alias("s"), F.sum(data * data).alias("q"))
     m = m.join(totals.groupBy("_lib").agg(F.count(F.lit(1)).alias("n")), "_lib").select("_lib", "gene_id", (F.col("s") / F.col("n")).alias("mean"), F.greatest(F.lit(0.0), F.col("q") / F.col("n") - F.pow(F.col("s") / F.col("n"), 2)).alias("v"))
-    place = F.row_number().over(W.partitionBy("_lib").orderBy(F.desc(F.round("v", 12)), "gene_id")) - 1  # one row per gene
-    genes = materialize(m.withColumn("place", place).filter(F.col("place") < GENES), "genes")
+    place = F.row_number().over(W.partitionBy("_lib").orderBy(F.desc(F.round("v", 12)), "gene_id"))  # one row per gene
+    genes = materialize(m.withColumn("place", place).filter(F.col("place") <= GENES).withColumn("place", F.col("place") - 1), "genes")
     per_library = genes.groupBy("_lib").agg(F.array_sort(F.collect_list(F.struct("place", "mean", F.sqrt("v").alias("sd")))).alias("g")).select("_lib", F.col("g.mean").alias("mean"), F.col("g.sd").alias("sd"))
     own = rows.join(genes.select("_lib", "gene_id", "place"), ["_lib", "gene_id"]).groupBy("_lib", "cell_id").agg(F.collect_list("place").alias("i"), F.collect_list("value").alias("x"))
     empty = F.array().cast("array<int>"), F.array().cast("array<double>")
@@ -90,13 +96,13 @@ def embedded(counts: DataFrame, libraries: DataFrame, library: str, min_cells: i
     params = materialize(cells.select("_lib", "_block").distinct().join(per_library, "_lib"), "params")
     key = ["_lib", "_block"]
 
-    def values(p: pd.DataFrame, q: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        return dense(p, np.asarray(q["mean"].iloc[0], float), np.asarray(q["sd"].iloc[0], float), seed)
+    def values(p: pd.DataFrame, q: pd.DataFrame, centred: float) -> tuple[np.ndarray, np.ndarray]:
+        return dense(p, centred * np.asarray(q["mean"].iloc[0], float), np.asarray(q["sd"].iloc[0], float), seed)
 
     def gram(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(p):
             return pd.DataFrame({"_lib": p["_lib"], "_part": [], "gram": []})
-        x, _ = values(p, q)
+        x, _ = values(p, q, 1.0)
         return pd.DataFrame({"_lib": p["_lib"].iloc[:1], "_part": int(p["_block"].iloc[0]) % 32, "gram": [(x.T @ x).tobytes()]})
 
     def add(p: pd.DataFrame) -> pd.DataFrame:
@@ -116,10 +122,10 @@ def embedded(counts: DataFrame, libraries: DataFrame, library: str, min_cells: i
     def embed(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(p):
             return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "level": [], "z": []})
-        real, made = values(p, q)
+        real, made = values(p, q, 0.0)  # as far apart as centred ones; those without counts of the genes are zero, wherever computed
         v = np.frombuffer(q["axes"].iloc[0], np.float64).reshape(real.shape[1], -1)
         level = np.digitize(np.arange(len(made)), [artificial(len(real), pn) for pn in PNS[:-1]])
-        z = np.vstack([real @ v, made @ v])
+        z = np.vstack([real @ v, made @ v]) + 0.0  # no zero has a sign
         ids = pd.concat([p.sort_values("cell_id")["cell_id"].astype(object), pd.Series([None] * len(made), dtype=object)], ignore_index=True)
         return pd.DataFrame({"_lib": p["_lib"].iloc[0], "cell_id": ids.astype("Int64") if kind in ("bigint", "int") else ids, "level": np.r_[np.full(len(real), -1), level], "z": [r.tobytes() for r in z]})
 
@@ -130,25 +136,27 @@ def doublet_scores(counts: DataFrame, libraries: DataFrame, library: str = "libr
     """library, cell_id, pann, pk of the cells of libraries with min_cells or more; smaller ones are not evaluated.
 
     libraries: cell_id and library. Genes, components and the neighbourhood pk are those of a whole library, from sums over its blocks;
-    artificial cells are made in each block of about block_cells random cells. Cells are compared with all cells of their library,
-    query_cells at a time, so that a library with a third of all cells makes many tasks and is scored by the same rules as any other;
-    a task holds the library's components (80 bytes a cell). pk is the one whose shares are bimodal alike for all shares of
-    artificial cells tried. Cells without counts have no score.
+    artificial cells are made in each block of about block_cells random cells. Cells with equal components are one point with their
+    number and are searched once; points are compared with all points of their library, query_cells at a time, so that a library
+    with a third of all cells makes many tasks and is scored by the same rules as any other; a task holds the library's points (120
+    bytes each). pk is the one whose shares are bimodal alike for all shares of artificial cells tried. Cells without counts have no
+    score.
     """
     z = embedded(counts, libraries, library, min_cells, seed, block_cells)
-    kind, kinds = counts.schema["cell_id"].dataType.simpleString(), libraries.schema[library].dataType.simpleString()
-    sizes = z.filter("level < 0").groupBy("_lib").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_cells))).cast("int").alias("_blocks"))  # one row per library
-    at = z.join(sizes, "_lib")
-    asked = at.filter("level < 0").withColumn("_q", F.pmod(F.xxhash64("cell_id"), F.col("_blocks")).cast("int")).select("_lib", "_q", "cell_id", "z")
-    base = at.withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select("_lib", "_q", "cell_id", "level", "z").toDF("lib", "q", "id", "level", "vector")
-
-    def shares(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(p):
-            return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "shares": []})
-        s = neighbour_shares(_vectors(p["z"]), p["cell_id"].to_numpy(object), _vectors(q["vector"]), q["id"].to_numpy(object), q["level"].to_numpy())
-        return pd.DataFrame({"_lib": p["_lib"], "cell_id": p["cell_id"], "shares": s.reshape(len(p), -1).tolist()})
-
-    got = materialize(asked.groupBy("_lib", "_q").cogroup(base.groupBy("lib", "q")).applyInPandas(shares, f"_lib {kinds}, cell_id {kind}, shares array<double>"), "shares")
+    kinds = libraries.schema[library].dataType.simpleString()
+    numbers = [f"_n{i}" for i in range(len(PNS) + 1)]
+    points = materialize(z.groupBy("_lib", "z").agg(*[F.count(F.when(F.col("level") == i - 1, 1)).alias(n) for i, n in enumerate(numbers)]), "points")
+    sizes = points.filter("_n0 > 0").groupBy("_lib").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(query_cells))).cast("int").alias("_blocks"))  # one row per library
+    base = points.join(sizes, "_lib").withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    base = base.withColumn("_asked", (F.col("_n0") > 0) & (F.pmod(F.xxhash64("z"), F.col("_blocks")) == F.col("_q"))).drop("_blocks")
+
+    def shares(p: pd.DataFrame) -> pd.DataFrame:
+        own = np.flatnonzero(p["_asked"])
+        s = neighbour_shares(own, _vectors(p["z"]), p[numbers].to_numpy(int))
+        return pd.DataFrame({"_lib": p["_lib"].iloc[own], "z": p["z"].iloc[own], "shares": s.reshape(len(own), -1).tolist()})
+
+    found = materialize(base.groupBy("_lib", "_q").applyInPandas(shares, f"_lib {kinds}, z binary, shares array<double>"), "found")
+    got = materialize(z.filter("level < 0").join(sent_if_small(found, SENT_POINTS), ["_lib", "z"]).select("_lib", "cell_id", "shares"), "shares")
     # Sarle's coefficient of every column of shares, from its skewness and kurtosis
     n = F.col("n").cast("double")
     g = F.col("g") * F.sqrt(n * (n - 1)) / (n - 2)

@@ -69,9 +69,9 @@ QUERIES = {
     "hvg_vst": lambda s, d: components.variable_genes(model.counts(s, d, "gene_id"), model.cells(s, d).count()),
     "pca_spectrum": pca_spectrum,
     "pca_embedding": pca_embedding,
-    "doublet_pann": lambda s, d: doublets.doublet_scores(model.counts(s, d), libraries(s, d)),
+    "doublet_pann": lambda s, d: doublets.doublet_scores(model.counts(s, d, "cell_id"), libraries(s, d)),
     "doublet_calls": lambda s, d: review.call_doublets(
-        materialize(doublets.doublet_scores(model.counts(s, d), libraries(s, d)), "pann"), review.expected_doublets(review.homotypic_proportion(libraries(s, d), "library_id", "cluster")), "library_id"
+        materialize(doublets.doublet_scores(model.counts(s, d, "cell_id"), libraries(s, d)), "pann"), review.expected_doublets(review.homotypic_proportion(libraries(s, d), "library_id", "cluster")), "library_id"
     ),
     "module_scores": module_scores,
     "ambient_em": lambda s, d: ambient.correct_counts(model.counts(s, d), libraries(s, d)),

@@ -101,9 +101,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def sent_if_small(df: DataFrame) -> DataFrame:
-    """df, to be sent to every executor where it has SENT_ROWS rows or fewer; joins with larger tables stay as they are."""
-    return F.broadcast(df) if df.limit(SENT_ROWS + 1).count() <= SENT_ROWS else df
+def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
+    """df, to be sent to every executor where it has so many rows or fewer; joins with larger tables stay as they are."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def discard(spark: SparkSession) -> int:

@@ -78,3 +78,58 @@ def test_small_groups_are_ranked_without_quantiles(spark, monkeypatch):
     cut, some = got(0), got(70)
     monkeypatch.setattr(F, "percentile_approx", None)  # its states and joins outgrow the values of many small groups
     assert cut == some == sorted(map(tuple, stats.value_ranks(df, ["k"], "x", 8, {"top": F.max("x")}).collect()))
+
+
+@pytest.fixture(scope="module")
+def equal_cells(spark, tmp_path_factory):
+    """Tables of 3,000 customers (cells) in five segments (libraries), each with one line; a segment's have 20 parts (genes) in all."""
+    d, i = str(tmp_path_factory.mktemp("equal_cells")), F.col("id")
+    for t in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{d}/{t}.parquet")
+    spark.range(3000).select(i.alias("c_custkey"), (i % 25).cast("int").alias("c_nationkey"), F.concat(F.lit("L"), i % 5).alias("c_mktsegment"), F.lit(0.0).alias("c_acctbal")).write.parquet(f"{d}/customer.parquet")
+    spark.range(3000).select(i.alias("o_orderkey"), i.alias("o_custkey")).write.parquet(f"{d}/orders.parquet")
+    spark.range(3000).select(i.alias("l_orderkey"), (F.floor(i / 5) % 20).alias("l_partkey"), F.lit(2.0).alias("l_quantity")).write.parquet(f"{d}/lineitem.parquet")
+    return d
+
+
+@pytest.mark.parametrize("query", ["doublet_pann"])
+def test_equal_cells_are_searched_once(spark, equal_cells, monkeypatch, query):
+    from scquarry.kernels import doublets
+
+    made, materialize = {}, doublets.materialize
+    monkeypatch.setattr(doublets, "materialize", lambda df, name: made.setdefault(name, materialize(df, name)))
+    got = catalog.QUERIES[query](spark, equal_cells).toPandas()
+    assert made["found"].count() == 5 * 20  # points, not cells
+    if query == "doublet_check":
+        assert len(got) == 5 and (got[["cells", "no_share", "neighbourhoods", "df"]] == [600, 0, 1, 24]).all().all()
+        return
+    assert len(got) == 3000 and got["cell_id"].is_unique and got["pann"].between(0, 1).all()
+    assert (got.assign(gene=got["cell_id"] // 5 % 20).groupby(["library_id", "gene"])["pann"].nunique() == 1).all()
+    if query == "doublet_calls":
+        assert (got[got["df"] == "Doublet"].groupby("library_id").size() == 24).all()
+
+
+def test_shares_count_equally_far_cells_by_part():
+    import numpy as np
+
+    from scquarry.kernels import doublets
+
+    def plain(a, z, level):
+        """Cells one by one; those equally far as the last of a neighbourhood by their part."""
+        d = np.delete(((z - z[a]) ** 2).sum(1), a)
+        for j in range(len(doublets.PNS)):
+            use = np.delete(level, a) <= j
+            n, kinds = use.sum() + 1, np.delete(level, a)[use] >= 0
+            for pk in doublets.PKS:
+                k = min(n - 1, max(1, round(pk * n)))
+                edge = np.sort(d[use])[k - 1]
+                near, same = d[use] < edge, d[use] == edge
+                yield (kinds[near].sum() + (k - near.sum()) * kinds[same].mean()) / k
+
+    r = np.random.default_rng(5)
+    for points in (7, 40, 300):  # whole numbers, so that distances are exact; few points with many cells, then most with one
+        z, level = r.integers(-9, 9, (points, 3)).astype(float)[r.integers(0, points, 300)], np.r_[np.full(190, -1), r.integers(0, 3, 110)]
+        u, at = np.unique(z, axis=0, return_inverse=True)
+        cells = np.stack([np.bincount(at[level == i - 1], minlength=len(u)) for i in range(4)], axis=1)
+        got = doublets.neighbour_shares(at[:20], u, cells).reshape(20, -1)
+        assert np.allclose(got, [list(plain(a, z, level)) for a in range(20)], atol=1e-12)
