@@ -50,7 +50,7 @@ def pca_check(s: SparkSession, d: str) -> DataFrame:
 def doublet_check(s: SparkSession, d: str) -> DataFrame:
     """Per library with enough cells: cells scored, scores that are no shares, and the doublets called with and without homotypic ones."""
     lib = kernels.libraries(s, d)
-    scores = materialize(doublets.doublet_scores(model.counts(s, d), lib, min_cells=MIN_CELLS), "pann")
+    scores = materialize(doublets.doublet_scores(model.counts(s, d, "cell_id"), lib, min_cells=MIN_CELLS), "pann")
     expected = review.expected_doublets(review.homotypic_proportion(lib, "library_id", "cluster"))
     called = review.call_doublets(scores, expected, "library_id")
     count = lambda c: F.count(F.when(c, 1))

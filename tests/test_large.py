@@ -92,7 +92,7 @@ def equal_cells(spark, tmp_path_factory):
     return d
 
 
-@pytest.mark.parametrize("query", ["doublet_calls", "doublet_pann"])
+@pytest.mark.parametrize("query", ["doublet_calls", "doublet_check", "doublet_pann"])
 def test_equal_cells_are_searched_once(spark, equal_cells, monkeypatch, query):
     from scquarry.kernels import doublets
 
