@@ -133,3 +133,61 @@ def test_shares_count_equally_far_cells_by_part():
         cells = np.stack([np.bincount(at[level == i - 1], minlength=len(u)) for i in range(4)], axis=1)
         got = doublets.neighbour_shares(at[:20], u, cells).reshape(20, -1)
         assert np.allclose(got, [list(plain(a, z, level)) for a in range(20)], atol=1e-12)
+
+
+def test_doublet_search_is_not_put_into_one_task(spark, equal_cells, monkeypatch):
+    from scquarry.kernels import doublets
+
+    made, materialize = {}, doublets.materialize
+    monkeypatch.setattr(doublets, "materialize", lambda df, name: made.setdefault(name, materialize(df, name)))
+    catalog.QUERIES["doublet_calls"](spark, equal_cells)
+    assert len(made["found"].inputFiles()) > 1  # few points, whose distances take long all the same
+
+
+def test_only_near_points_are_sorted(monkeypatch):
+    import numpy as np
+
+    from scquarry.kernels import doublets
+
+    r, sorted_, argsort = np.random.default_rng(3), [], np.argsort
+    z, cells = np.vstack([np.zeros((1, 10)), r.normal(size=(1999, 10))]), np.eye(4, dtype=int)[r.choice(4, 2000, p=[0.6, 0.1, 0.1, 0.2])]
+    own = np.flatnonzero(cells[1:, 0])[:100] + 1
+    for most in ((4000, 500, 500, 500), (1, 0, 0, 0)):  # most cells at one point, then none with more than one
+        cells[0] = most
+        with monkeypatch.context() as c:
+            c.setattr(doublets.np, "argsort", lambda a, **k: sorted_.append(len(a)) or argsort(a, **k))
+            got = doublets.neighbour_shares(own, z, cells)
+        assert sum(sorted_) < 100 * 2000 / 2
+        sorted_.clear()
+        with monkeypatch.context() as c:
+            c.setattr(doublets, "HEAVY", 2000)  # all points
+            assert (got == doublets.neighbour_shares(own, z, cells)).all()
+    far = np.argsort(-(z * z).sum(1))[:50]
+    cells[far] = 90, 30, 30, 30  # too few cells near by
+    with monkeypatch.context() as c:
+        c.setattr(doublets, "HEAVY", 1)
+        got = doublets.neighbour_shares(own, z, cells)
+    assert (got == doublets.neighbour_shares(own, z, cells)).all()
+
+
+def test_cells_without_counts_of_the_genes_are_zero(spark):
+    """A block's cells without counts of the genes aren't made dense; the components are those of all cells."""
+    import numpy as np
+    import pandas as pd
+
+    from scquarry.kernels import doublets
+
+    p = pd.DataFrame({"i": [np.array([], "int32"), np.array([2, 0], "int32"), np.array([], "int32"), np.array([1], "int32")], "x": [np.array([]), np.array([3.0, 1.0]), np.array([]), np.array([5.0])]})
+    own, x = doublets.some_dense(p, 3)
+    assert own.tolist() == [1, 3] and x.tolist() == [[1, 0, 3], [0, 5, 0]]
+    counts = spark.range(400).select((F.col("id") % 40).alias("cell_id"), F.pmod(F.xxhash64("id"), F.lit(30)).alias("gene_id"), F.lit(2.0).alias("value")).distinct()
+    libraries = spark.range(40).select(F.col("id").alias("cell_id"), F.lit("L").alias("library_id"))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(doublets, "GENES", 2)
+        z = doublets.embedded(counts, libraries, "library_id", 30, 1, 2000)[0].filter("level < 0").toPandas().set_index("cell_id")["z"]
+        genes = {r["gene_id"] for r in counts.groupBy("gene_id").count().collect()}
+    with_genes = counts.toPandas()
+    assert len(genes) > 2 and len(z) == 40
+    zero = {c for c, v in z.items() if not np.frombuffer(v, np.float64).any()}
+    used = [g for g in genes if not zero & set(with_genes[with_genes["gene_id"] == g]["cell_id"])]
+    assert 0 < len(zero) < 40 and len(used) == 2 and set(with_genes[with_genes["gene_id"].isin(used)]["cell_id"]) == set(z.index) - zero
